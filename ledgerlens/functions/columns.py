@@ -17,6 +17,34 @@ PERCENT = Decimal("0.01")
 # Partial sums of a money column are narrowed to this before they are multiplied
 # by a rate, so the product stays inside 38 digits with all 10 decimals.
 PARTIAL_MONEY = "decimal(24,4)"
+# Result types of report sums. Sums are narrowed to these so that adding two
+# of them never passes 38 digits (where Spark would start dropping decimals).
+AMOUNT_SUM = "decimal(28,4)"
+TAX_SUM = "decimal(30,10)"
+TAXED_AMOUNT_SUM = "decimal(30,6)"
+
+
+# Report formulas add and subtract up to seven sums of different scales; each
+# step is narrowed back to this type so no step passes 38 digits.
+FORMULA = "decimal(34,10)"
+
+
+def add(*cols: Column) -> Column:
+    """Exact decimal a + b + …, narrowed to ``FORMULA`` after every step."""
+    out = cols[0].cast(FORMULA)
+    for c in cols[1:]:
+        out = (out + c).cast(FORMULA)
+    return out
+
+
+def sub(a: Column, b: Column) -> Column:
+    return (a.cast(FORMULA) - b).cast(FORMULA)
+
+
+def sum_as(col, type_: str) -> Column:
+    """SUM of a decimal narrowed to a fixed result type (ANSI: overflow fails)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c).cast(type_)
 
 
 def partner_id(raw: str = "partner_raw") -> Column:

@@ -53,3 +53,131 @@ def _fees(t: Tables) -> DataFrame:
 @query("accounts_scan")
 def _accounts(t: Tables) -> DataFrame:
     return t.accounts
+
+
+# -- shared inputs ------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerlens.functions.columns import with_partner_id  # noqa: E402
+from ledgerlens.operators import commission as C  # noqa: E402
+from ledgerlens.operators import fees as FE  # noqa: E402
+from ledgerlens.operators import items as I  # noqa: E402
+from ledgerlens.operators import taxes as TX  # noqa: E402
+from ledgerlens.operators.filters import RunFilter  # noqa: E402
+from ledgerlens.plans.invoice import invoice_summary  # noqa: E402
+from ledgerlens.plans.partner import partner_summary  # noqa: E402
+from ledgerlens.plans.settlement import settlement_summary  # noqa: E402
+
+# Fixed parameters of the filtered / lookup queries: a partner spelt with a
+# thousands comma ("1,000") and a contract shared by several partners. Both
+# exist at every driver scale factor.
+PARTNER = 1000
+CONTRACT = "C10-1"
+
+
+def _rates(t: Tables) -> DataFrame:
+    return TX.tax_rates(t.taxes, TX.sessions(t.sales))
+
+
+# -- taxes, fees, commission (A1-A7, A11) --------------------------------------------
+
+@query("tax_rates")
+def _tax_rates(t: Tables) -> DataFrame:
+    return _rates(t)
+
+
+@query("fee_detail")
+def _fee_detail(t: Tables) -> DataFrame:
+    return FE.fee_detail(t.fees, TX.sessions(t.sales), _rates(t))
+
+
+@query("session_fees_invoice")
+def _session_fees_invoice(t: Tables) -> DataFrame:
+    return FE.session_fees_invoice(FE.fee_detail(t.fees, TX.sessions(t.sales), _rates(t)))
+
+
+@query("commission_by_invoice")
+def _commission_by_invoice(t: Tables) -> DataFrame:
+    return C.commission_by_invoice(t.sales, _rates(t))
+
+
+@query("partner_commission")
+def _partner_commission(t: Tables) -> DataFrame:
+    base = with_partner_id(t.sales)
+    return C.partner_commission(base, _rates(t))
+
+
+@query("partner_marketing_fees")
+def _partner_marketing_fees(t: Tables) -> DataFrame:
+    return FE.partner_marketing_fees(t.fees, FE.session_partners(with_partner_id(t.sales)))
+
+
+@query("partner_settlement_fees")
+def _partner_settlement_fees(t: Tables) -> DataFrame:
+    return FE.partner_settlement_fees(t.fees, FE.session_partners(with_partner_id(t.sales)),
+                                      _rates(t))
+
+
+@query("settlement_session_fees")
+def _settlement_session_fees(t: Tables) -> DataFrame:
+    return FE.settlement_session_fees(t.fees, TX.sessions(t.sales), _rates(t))
+
+
+# -- items (A8-A10, A12) ---------------------------------------------------------------
+
+@query("item_history")
+def _item_history(t: Tables) -> DataFrame:
+    return I.item_history(t.sales)
+
+
+@query("consolidated_items")
+def _consolidated_items(t: Tables) -> DataFrame:
+    return I.consolidated_items(t.sales)
+
+
+@query("partner_revenue")
+def _partner_revenue(t: Tables) -> DataFrame:
+    return I.partner_revenue(with_partner_id(t.sales))
+
+
+@query("settlement_lines")
+def _settlement_lines(t: Tables) -> DataFrame:
+    return I.settlement_lines(t.sales)
+
+
+# -- reports (R1-R3) with and without run filters ---------------------------------------
+
+@query("invoice_summary")
+def _invoice_summary(t: Tables) -> DataFrame:
+    return invoice_summary(t)
+
+
+@query("invoice_summary_by_partner")
+def _invoice_summary_by_partner(t: Tables) -> DataFrame:
+    return invoice_summary(t, RunFilter(partner_id=PARTNER))
+
+
+@query("invoice_summary_by_contract")
+def _invoice_summary_by_contract(t: Tables) -> DataFrame:
+    return invoice_summary(t, RunFilter(contract_code=CONTRACT))
+
+
+@query("partner_summary")
+def _partner_summary(t: Tables) -> DataFrame:
+    return partner_summary(t)
+
+
+@query("partner_summary_by_contract")
+def _partner_summary_by_contract(t: Tables) -> DataFrame:
+    return partner_summary(t, RunFilter(contract_code=CONTRACT))
+
+
+@query("settlement_summary")
+def _settlement_summary(t: Tables) -> DataFrame:
+    return settlement_summary(t)
+
+
+@query("settlement_summary_by_partner")
+def _settlement_summary_by_partner(t: Tables) -> DataFrame:
+    return settlement_summary(t, RunFilter(partner_id=PARTNER))
