@@ -181,3 +181,84 @@ def _settlement_summary(t: Tables) -> DataFrame:
 @query("settlement_summary_by_partner")
 def _settlement_summary_by_partner(t: Tables) -> DataFrame:
     return settlement_summary(t, RunFilter(partner_id=PARTNER))
+
+
+# -- lookups (L1-L4) and their bulk forms ----------------------------------------------
+
+from ledgerlens.operators import lookups as L  # noqa: E402
+
+
+@query("lookup_partner_for_contract")
+def _lookup_partner_for_contract(t: Tables) -> DataFrame:
+    return L.partner_for_contract(t.sales, CONTRACT)
+
+
+@query("lookup_contract_for_partner")
+def _lookup_contract_for_partner(t: Tables) -> DataFrame:
+    return L.contract_for_partner(t.sales, PARTNER)
+
+
+@query("contracts_of_partner")
+def _contracts_of_partner(t: Tables) -> DataFrame:
+    return L.contracts_of_partner(t.sales, PARTNER)
+
+
+@query("lookup_account_name")
+def _lookup_account_name(t: Tables) -> DataFrame:
+    return L.account_name(t.accounts, PARTNER)
+
+
+@query("latest_partner_by_contract")
+def _latest_partner_by_contract(t: Tables) -> DataFrame:
+    return L.latest_partner_by_contract(t.sales)
+
+
+@query("latest_contract_by_partner")
+def _latest_contract_by_partner(t: Tables) -> DataFrame:
+    return L.latest_contract_by_partner(t.sales)
+
+
+# -- sinks (K1-K4) ----------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from ledgerlens.functions.cells import report_cells  # noqa: E402
+
+# Fixed run date of the registered job queries (the job takes it as a parameter).
+RUN_DATE = _dt.date(2024, 1, 1)
+
+
+@query("report_cells", doubles=False)
+def _report_cells(t: Tables) -> DataFrame:
+    """The partner summary as export cells (typed formatting)."""
+    return report_cells(partner_summary(t))
+
+
+@query("invoice_report_cells", doubles=False)
+def _invoice_report_cells(t: Tables) -> DataFrame:
+    """The invoice summary as export cells, numeric-looking text formatted too."""
+    return report_cells(invoice_summary(t), legacy_strings=True)
+
+
+@query("snapshot_roundtrip")
+def _snapshot_roundtrip(t: Tables) -> DataFrame:
+    """Snapshot the partner summary to a dated folder and read it back."""
+    from ledgerlens.session import scratch_dir
+    from ledgerlens.sinks.snapshot import snapshot
+
+    spark = t.sales.sparkSession
+    path = snapshot(partner_summary(t), scratch_dir(spark, "snapshots"), "partner_summary",
+                    RUN_DATE)
+    return spark.read.parquet(path)
+
+
+@query("run_log")
+def _run_log(t: Tables) -> DataFrame:
+    """Run the whole partner-summary job; its run-log row without the wall-clock
+    time (the only column that differs between runs)."""
+    from ledgerlens.job import run
+    from ledgerlens.session import scratch_dir
+
+    spark = t.sales.sparkSession
+    row = run(spark, t, "partner_summary", run_date=RUN_DATE, out=scratch_dir(spark, "job"))
+    return row.select("status", "report", "rows_returned", "table_name", "run_date")

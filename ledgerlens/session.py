@@ -40,6 +40,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.default.parallelism", str(cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    # local runs only: stands in for the shared folder a cluster names here
+    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -48,27 +50,39 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests, the bench) do we create our own.
+    Read from the session; only when it is unset (local tests, the bench) is
+    a folder of our own created and recorded in the session conf.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        current = current.get() if current.isDefined() else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
+    if not root:
+        root = sc.getCheckpointDir() or _LOCAL_FALLBACK.get("root")
+    if not root:
+        root = _LOCAL_FALLBACK.setdefault("root", tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
+    return root
+
+
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``DataFrame.checkpoint()`` has a reliable directory and return
+    the shared root it lives under."""
+    root = shared_dir(spark)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never a local temp dir
     on a cluster: the checkpoint folder is the one the cluster shares)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
 
+    root = shared_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"

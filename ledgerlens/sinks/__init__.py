@@ -1,0 +1,7 @@
+"""Sinks: dated snapshots, the formatted text export and the run log."""
+
+from ledgerlens.sinks.export import export_cells
+from ledgerlens.sinks.runlog import append_run_log, run_log_row
+from ledgerlens.sinks.snapshot import snapshot, snapshot_name
+
+__all__ = ["append_run_log", "export_cells", "run_log_row", "snapshot", "snapshot_name"]
