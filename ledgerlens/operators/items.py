@@ -11,7 +11,8 @@ Both are computed with aggregations instead of windows or self-joins:
 * ``key_stats``: (item, status) -> n, summed and max amounts. A groupBy with a
   map-side partial aggregation, so an item that holds a third of all rows is
   collapsed before the shuffle (a window would put it in one task).
-* item maxima come from ``key_stats`` (already aggregated), not another scan;
+* item maxima come from ``key_stats`` (already aggregated, a few rows per item)
+  through a window, not from another scan of the sales lines;
 * lines meet ``key_stats`` in one equi-join; AQE splits a skewed key's
   partition. Lines with a NULL item or status never match anything and are
   routed around the join, so NULL keys never pile up in one partition.
@@ -19,7 +20,7 @@ Both are computed with aggregations instead of windows or self-joins:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
@@ -45,7 +46,11 @@ def _reversal_agg(col: str) -> F.Column:
 def key_stats(base: DataFrame) -> DataFrame:
     """(item, status) -> n, sum and max of gross/collected, plus the item's
     reversal amounts; only rows with a non-NULL item (NULL status kept: its
-    lines count towards the item maxima)."""
+    lines count towards the item maxima).
+
+    The item maxima are a window over the *aggregated* rows — one per status of
+    the item, a handful at most — so neither a second scan of the sales lines
+    nor an unbounded window partition is needed."""
     per_key = (
         base.where(F.col("item_id").isNotNull())
         .groupBy("item_id", "item_status")
@@ -55,10 +60,11 @@ def key_stats(base: DataFrame) -> DataFrame:
              F.max("gross_amount").alias("max_gross"),
              F.max("collected_amount").alias("max_collected"))
     )
-    per_item = per_key.groupBy("item_id").agg(
-        _reversal_agg("max_gross").alias("hist_gross"),
-        _reversal_agg("max_collected").alias("hist_collected"))
-    return per_key.join(per_item, "item_id")
+    item = Window.partitionBy("item_id")
+    return (per_key
+            .withColumn("hist_gross", F.coalesce(-F.max("max_gross").over(item), F.lit(0)))
+            .withColumn("hist_collected",
+                        F.coalesce(-F.max("max_collected").over(item), F.lit(0))))
 
 
 def consolidated_key_stats(base: DataFrame) -> DataFrame:

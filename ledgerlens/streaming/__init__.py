@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The audited job is a daily batch: no event time, watermark, state or late data
+(its ``session_id`` is a billing session, not a session window). A scheduler
+runs :func:`ledgerlens.job.run` with an explicit ``run_date`` instead.
+"""
