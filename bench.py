@@ -60,7 +60,7 @@ def main() -> None:
     root = scratch_dir(spark, "bench-tables")
     holder = {}
     ingest = timed(lambda: holder.setdefault(
-        "t", Tables.from_driver(spark, sf_dir).materialize(root)))
+        "t", Tables.from_driver(spark, sf_dir).materialize(root, files=2 * cpus)))
     tables = holder["t"]
     times = {"ingest": round(ingest, 3)}
     print(f"ingest {ingest:.2f}s -> {root}", file=sys.stderr)

@@ -24,19 +24,28 @@ INVOICE_KEYS = ("session_id", "invoice_id", "period_from", "period_to", "input_d
                 "invoice_link")
 
 
-def _rated_by_plan(base: DataFrame, keys: list[str], rates: DataFrame) -> DataFrame:
-    """Commission of validated/canceled lines summed per (keys, plan), with the
-    resolved tax rate of each (session, plan). ``keys`` contains ``session_id``."""
-    by_plan = (
+def commission_by_plan(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Commission ``m`` of validated/canceled lines summed per (keys, plan);
+    ``keys`` contains ``session_id``. The map-side partial aggregation here is
+    what shrinks the fact table before anything is shuffled."""
+    return (
         base.where(is_commission_line())
         .select(*keys, "plan_id", ticket_commission().alias("m"))
         .groupBy(*keys, "plan_id")
         .agg(F.sum("m").cast(PARTIAL_MONEY).alias("m"))
     )
+
+
+def rate_plans(by_plan: DataFrame, rates: DataFrame) -> DataFrame:
+    """Attach the resolved tax rate of each (session, plan)."""
     return attach_rates(by_plan, rates, F.col("plan_id").cast("string"))
 
 
-def _commission_totals(rated: DataFrame, keys: list[str]) -> DataFrame:
+def _rated_by_plan(base: DataFrame, keys: list[str], rates: DataFrame) -> DataFrame:
+    return rate_plans(commission_by_plan(base, keys), rates)
+
+
+def commission_totals(rated: DataFrame, keys: list[str]) -> DataFrame:
     return rated.groupBy(*keys).agg(
         sum_as("m", AMOUNT_SUM).alias("commission"),
         sum_as(F.col("m") * F.col("tax_rate"), TAX_SUM).alias("commission_tax"),
@@ -47,10 +56,10 @@ def commission_by_invoice(base: DataFrame, rates: DataFrame) -> DataFrame:
     """A4: (session, invoice id as text, period, input date, link) -> commission, tax."""
     keyed = base.withColumn("invoice_id", F.col("invoice_id").cast("string"))
     keys = list(INVOICE_KEYS)
-    return _commission_totals(_rated_by_plan(keyed, keys, rates), keys)
+    return commission_totals(_rated_by_plan(keyed, keys, rates), keys)
 
 
 def partner_commission(base: DataFrame, rates: DataFrame) -> DataFrame:
     """A5: partner -> ticketing commission and its tax. ``base`` has ``partner_id``."""
     rated = _rated_by_plan(base, ["partner_id", "session_id"], rates)
-    return _commission_totals(rated, ["partner_id"])
+    return commission_totals(rated, ["partner_id"])

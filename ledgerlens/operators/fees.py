@@ -79,7 +79,8 @@ def settlement_session_fees(fees: DataFrame, session_ids: DataFrame,
 
 def session_partners(base: DataFrame) -> DataFrame:
     """Distinct (session, partner) pairs with ``k`` = partners in the session
-    (a NULL partner counts as one). Small: one row per pair."""
+    (a NULL partner counts as one). Small: one row per pair. ``base`` may be
+    the sales lines or any aggregate of them keyed by session and partner."""
     pairs = base.select("session_id", "partner_id").distinct()
     k = pairs.groupBy("session_id").agg(F.count(F.lit(1)).cast("int").alias("k"))
     return pairs.join(k, "session_id")

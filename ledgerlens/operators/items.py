@@ -43,44 +43,6 @@ def _reversal_agg(col: str) -> F.Column:
     return F.coalesce(-F.max(col), F.lit(0))
 
 
-def key_stats(base: DataFrame) -> DataFrame:
-    """(item, status) -> n, sum and max of gross/collected, plus the item's
-    reversal amounts; only rows with a non-NULL item (NULL status kept: its
-    lines count towards the item maxima).
-
-    The item maxima are a window over the *aggregated* rows — one per status of
-    the item, a handful at most — so neither a second scan of the sales lines
-    nor an unbounded window partition is needed."""
-    per_key = (
-        base.where(F.col("item_id").isNotNull())
-        .groupBy("item_id", "item_status")
-        .agg(F.count(F.lit(1)).cast("int").alias("n"),
-             F.sum("gross_amount").alias("sum_gross"),
-             F.sum("collected_amount").alias("sum_collected"),
-             F.max("gross_amount").alias("max_gross"),
-             F.max("collected_amount").alias("max_collected"))
-    )
-    item = Window.partitionBy("item_id")
-    return (per_key
-            .withColumn("hist_gross", F.coalesce(-F.max("max_gross").over(item), F.lit(0)))
-            .withColumn("hist_collected",
-                        F.coalesce(-F.max("max_collected").over(item), F.lit(0))))
-
-
-def consolidated_key_stats(base: DataFrame) -> DataFrame:
-    """(item, status) with both non-NULL -> n and the consolidated sums ``cg``/``cc``
-    of its lines (canceled lines take the item's reversal amounts)."""
-    ks = key_stats(base).where(F.col("item_status").isNotNull())
-    canceled = F.col("item_status") == S.STATUS_CANCELED
-    return ks.select(
-        "item_id", "item_status", "n",
-        F.when(canceled, F.col("n") * F.col("hist_gross")).otherwise(F.col("sum_gross"))
-        .alias("cg"),
-        F.when(canceled, F.col("n") * F.col("hist_collected")).otherwise(F.col("sum_collected"))
-        .alias("cc"),
-    )
-
-
 def consolidated_items(base: DataFrame) -> DataFrame:
     """A9: every line with its consolidated gross and collected amounts."""
     has_item = F.col("item_id").isNotNull()
@@ -100,25 +62,77 @@ def consolidated_items(base: DataFrame) -> DataFrame:
     )
 
 
+KNOWN_STATUSES = (S.STATUS_VALIDATED, S.STATUS_CANCELED, S.STATUS_PURCHASED)
+
+
+def _status_tag(status: str) -> str:
+    return {S.STATUS_VALIDATED: "v", S.STATUS_CANCELED: "c", S.STATUS_PURCHASED: "p"}[status]
+
+
+def item_stats(base: DataFrame) -> DataFrame:
+    """item -> reversal amounts plus, for each known status s, the count ``n_s``
+    and sums ``g_s`` / ``c_s`` of its lines' gross and collected amounts.
+
+    One groupBy on the item with conditional aggregates: a partial aggregation
+    (a hot item collapses map-side), output hash-partitioned by item — which is
+    exactly the partitioning the join back to the lines needs."""
+    st = F.col("item_status")
+    aggs = [_reversal_agg("gross_amount").alias("hist_gross"),
+            _reversal_agg("collected_amount").alias("hist_collected")]
+    for status in KNOWN_STATUSES:
+        tag, hit = _status_tag(status), st == status
+        aggs += [F.count(F.when(hit, F.lit(1))).cast("int").alias(f"n_{tag}"),
+                 F.sum(F.when(hit, F.col("gross_amount"))).alias(f"g_{tag}"),
+                 F.sum(F.when(hit, F.col("collected_amount"))).alias(f"c_{tag}")]
+    return base.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(*aggs)
+
+
+def _pick(prefix: str) -> F.Column:
+    """The per-status column of the line's own (known) status."""
+    st = F.col("item_status")
+    out = None
+    for status in KNOWN_STATUSES:
+        col = F.col(f"{prefix}_{_status_tag(status)}")
+        out = F.when(st == status, col) if out is None else out.when(st == status, col)
+    return out
+
+
 def settlement_lines(base: DataFrame) -> DataFrame:
     """A12: settlement group -> gross, collected, executed / cancelled / advance
-    commission with tax, with the (item, status) self-join multiplicities."""
+    commission with tax, with the (item, status) self-join multiplicities.
+
+    Lines join the per-item statistics on the item alone (the statistics are
+    already partitioned by it; AQE splits a skewed item). A status outside the
+    known three takes a side path keyed by (item, status); NULL item or status
+    lines match nothing and skip the joins."""
     keys = list(SETTLEMENT_KEYS)
     st, cw = F.col("item_status"), F.col("commission_w_tax")
-    has_key = F.col("item_id").isNotNull() & st.isNotNull()
-
-    stats = consolidated_key_stats(base)
-    keyed = (base.where(has_key)
-             .select(*keys, "item_id", "item_status", "commission_w_tax")
-             .join(stats, ["item_id", "item_status"]))
+    canceled = st == S.STATUS_CANCELED
+    has_item = F.col("item_id").isNotNull()
+    known = st.isin(*KNOWN_STATUSES)
+    cols = [*keys, "item_id", "item_status", "commission_w_tax"]
+
+    stats = item_stats(base)
+    keyed = (base.where(has_item & known).select(*cols)
+             .join(stats, "item_id")
+             .select(*cols, _pick("n").alias("n"),
+                     F.when(canceled, F.col("n_c") * F.col("hist_gross"))
+                     .otherwise(_pick("g")).alias("cg"),
+                     F.when(canceled, F.col("n_c") * F.col("hist_collected"))
+                     .otherwise(_pick("c")).alias("cc")))
+    other = base.where(has_item & st.isNotNull() & ~known)
+    other_stats = (other.groupBy("item_id", "item_status")
+                   .agg(F.count(F.lit(1)).cast("int").alias("n"),
+                        F.sum("gross_amount").alias("cg"),
+                        F.sum("collected_amount").alias("cc")))
+    others = other.select(*cols).join(other_stats, ["item_id", "item_status"])
     # NULL item or status: the self-join finds no partner line, so the line
     # counts once and brings no consolidated amount.
-    loose = (base.where(~has_key)
-             .select(*keys, "item_id", "item_status", "commission_w_tax",
-                     F.lit(1).alias("n"),
+    loose = (base.where(~has_item | st.isNull())
+             .select(*cols, F.lit(1).alias("n"),
                      F.lit(None).cast("decimal(23,2)").alias("cg"),
                      F.lit(None).cast("decimal(29,4)").alias("cc")))
-    lines = keyed.unionByName(loose)
+    lines = keyed.unionByName(others, allowMissingColumns=False).unionByName(loose)
 
     def by_status(status: str) -> F.Column:
         return sum_as(F.when(st == status, F.col("n") * cw).otherwise(F.lit(0)),
@@ -133,26 +147,35 @@ def settlement_lines(base: DataFrame) -> DataFrame:
     )
 
 
-def partner_revenue(base: DataFrame) -> DataFrame:
-    """A10: partner -> collected revenue of every line that is not ``purchased``
-    (NULL status counts 0), canceled lines at their item's reversal amount.
+def own_revenue(base: DataFrame, keys=("partner_id",)) -> DataFrame:
+    """Collected amount of the lines that are not canceled: every status but
+    ``purchased`` counts (a NULL status counts 0). ``keys`` -> ``v``."""
+    st = F.col("item_status")
+    return (base.where(~st.eqNullSafe(S.STATUS_CANCELED))
+            .groupBy(*keys)
+            .agg(F.sum(F.when(st != S.STATUS_PURCHASED, F.col("collected_amount"))
+                       .otherwise(F.lit(0))).cast(AMOUNT_SUM).alias("v")))
+
+
+def canceled_reversals(base: DataFrame) -> DataFrame:
+    """partner -> sum of the reversal amounts of its canceled lines (``v``).
 
     Canceled lines are first counted per (partner, item), so the item join works
-    on one row per pair instead of one per line.
-    """
-    st = F.col("item_status")
-    canceled = st.eqNullSafe(S.STATUS_CANCELED)
-    own = (base.where(~canceled)
-           .groupBy("partner_id")
-           .agg(F.sum(F.when(st != S.STATUS_PURCHASED, F.col("collected_amount"))
-                      .otherwise(F.lit(0))).cast(AMOUNT_SUM).alias("v")))
+    on one row per pair instead of one per line; a NULL item finds no history."""
     hist = item_history(base.where(F.col("item_id").isNotNull())).select(
         "item_id", "hist_collected")
-    reversed_ = (base.where(canceled)
-                 .groupBy("partner_id", "item_id").agg(F.count(F.lit(1)).cast("int").alias("c"))
-                 .join(hist, "item_id", "left")
-                 .groupBy("partner_id")
-                 .agg(F.sum(F.col("c") * F.col("hist_collected")).cast(AMOUNT_SUM).alias("v")))
-    return (own.unionByName(reversed_)
+    return (base.where(F.col("item_status").eqNullSafe(S.STATUS_CANCELED))
+            .groupBy("partner_id", "item_id").agg(F.count(F.lit(1)).cast("int").alias("c"))
+            .join(hist, "item_id", "left")
+            .groupBy("partner_id")
+            .agg(F.sum(F.col("c") * F.col("hist_collected")).cast(AMOUNT_SUM).alias("v")))
+
+
+def partner_revenue(base: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """A10: partner -> collected revenue of every line that is not ``purchased``
+    (NULL status counts 0), canceled lines at their item's reversal amount.
+    ``own`` may pass :func:`own_revenue` already computed from another grain."""
+    own = own if own is not None else own_revenue(base)
+    return (own.select("partner_id", "v").unionByName(canceled_reversals(base))
             .groupBy("partner_id")
             .agg(sum_as("v", AMOUNT_SUM).alias("revenue_collected")))

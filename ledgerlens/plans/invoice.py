@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import add, zero_if_null
-from ledgerlens.operators.commission import commission_by_invoice
+from ledgerlens.operators.commission import (INVOICE_KEYS, commission_by_plan, commission_totals,
+                                             rate_plans)
 from ledgerlens.operators.fees import fee_detail, session_fees_invoice
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
-from ledgerlens.operators.taxes import sessions, tax_rates
+from ledgerlens.operators.taxes import tax_rates
 from ledgerlens.plans.totals import with_total
 from ledgerlens.sources.catalog import Tables
 
@@ -27,11 +28,15 @@ MEASURES = ["commission", "fixed_fees", "total_share", "taxes"]
 
 
 def invoice_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
-    base = run_filter.apply(t.sales)
-    session_ids = sessions(base)
+    base = run_filter.apply(t.sales).withColumn("invoice_id", F.col("invoice_id").cast("string"))
+    keys = list(INVOICE_KEYS)
+    by_plan = commission_by_plan(base, keys)
+    # Only sessions with commission lines reach this report, so the tax and fee
+    # lookups take their sessions from the (small) aggregate, not another scan.
+    session_ids = by_plan.select("session_id").distinct()
     rates = tax_rates(t.taxes, session_ids)
     fees = session_fees_invoice(fee_detail(t.fees, session_ids, rates))
-    comm = commission_by_invoice(base, rates)
+    comm = commission_totals(rate_plans(by_plan, rates), keys)
     fin = comm.join(fees, "session_id", "left")
     fee, fee_tax = zero_if_null(F.col("fee_invoice")), zero_if_null(F.col("fee_invoice_tax"))
     return fin.select(

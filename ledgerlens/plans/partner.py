@@ -18,8 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import add, sub, with_partner_id, zero_if_null
-from ledgerlens.operators.commission import partner_commission
+from ledgerlens import schemas as S
+from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, add, is_commission_line, sub,
+                                          ticket_commission, with_partner_id, zero_if_null)
+from ledgerlens.operators.commission import commission_totals, rate_plans
 from ledgerlens.operators.fees import (fee_total, partner_marketing_fees,
                                        partner_settlement_fees, session_partners)
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
@@ -31,12 +33,28 @@ COLUMNS = ["partner_id", "gross_collected", "commission", "marketing_fees", "tot
            "partner_payment"]
 
 
+def partner_grain(base: DataFrame) -> DataFrame:
+    """(partner, session, plan) -> commission ``m`` of validated/canceled lines
+    and ``own`` collected revenue of the lines that are not canceled.
+
+    One partial aggregation of the sales lines serves the commission, its tax,
+    the revenue and the (session, partner) pairs of the report."""
+    st = F.col("item_status")
+    own = F.when(~st.eqNullSafe(S.STATUS_CANCELED),
+                 F.when(st != S.STATUS_PURCHASED, F.col("collected_amount")).otherwise(F.lit(0)))
+    return base.groupBy("partner_id", "session_id", "plan_id").agg(
+        F.sum(F.when(is_commission_line(), ticket_commission())).cast(PARTIAL_MONEY).alias("m"),
+        F.sum(own).cast(AMOUNT_SUM).alias("own"))
+
+
 def partner_summary(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     base = with_partner_id(run_filter.apply(t.sales))
-    pairs = session_partners(base)
+    grain = partner_grain(base)
+    pairs = session_partners(grain)
     rates = tax_rates(t.taxes, pairs.select("session_id").distinct())
-    revenue = partner_revenue(base)
-    comm = partner_commission(base, rates)
+    own = grain.groupBy("partner_id").agg(F.sum("own").cast(AMOUNT_SUM).alias("v"))
+    revenue = partner_revenue(base, own)
+    comm = commission_totals(rate_plans(grain, rates), ["partner_id"])
     mkt = partner_marketing_fees(t.fees, pairs)
     sfees = partner_settlement_fees(t.fees, pairs, rates)
     spine = pairs.select("partner_id").distinct()

@@ -18,7 +18,7 @@ from ledgerlens.functions.columns import add, sub, zero_if_null
 from ledgerlens.operators.fees import settlement_session_fees
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.operators.items import settlement_lines
-from ledgerlens.operators.taxes import sessions, tax_rates
+from ledgerlens.operators.taxes import tax_rates
 from ledgerlens.plans.totals import with_total
 from ledgerlens.sources.catalog import Tables
 
@@ -30,10 +30,13 @@ COLUMNS = ["settlement_link", "input_date", "period_from", "period_to"] + MEASUR
 
 def settlement_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     base = run_filter.apply(t.sales)
-    session_ids = sessions(base)
+    lines = settlement_lines(base)
+    # every line lands in a settlement group keyed by session, so the sessions
+    # of the run come from the (small) grouped lines, not another scan
+    session_ids = lines.select("session_id").distinct()
     rates = tax_rates(t.taxes, session_ids)
     fees = settlement_session_fees(t.fees, session_ids, rates)
-    fin = settlement_lines(base).join(fees, "session_id", "left")
+    fin = lines.join(fees, "session_id", "left")
     mkt = zero_if_null(F.col("marketing_fees_w_tax"))
     cash = zero_if_null(F.col("cash_advance_w_tax"))
     other = zero_if_null(F.col("other_fees_w_tax"))

@@ -17,6 +17,8 @@ SF0001 = "/root/testdata/sf0.001"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+# the same queries over any Tables (used by the randomized oracle tests)
+TABLE_QUERIES: dict[str, tuple[Callable[[Tables], DataFrame], bool]] = {}
 
 
 def query(name: str, doubles: bool = True):
@@ -28,6 +30,7 @@ def query(name: str, doubles: bool = True):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        TABLE_QUERIES[name] = (fn, doubles)
         return fn
 
     return deco

@@ -215,3 +215,16 @@ def test_total_equals_sum_of_detail(spark):
     total, detail = rows[0], rows[1:]
     for m in ("commission", "fixed_fees", "total_share", "taxes"):
         assert total[m] == sum(r[m] for r in detail)
+
+
+def test_unknown_status_lines_self_join_within_their_status(spark):
+    t = make_tables(spark, sales=[
+        sale(item_id=9, item_status="refunded", commission_w_tax=D("1")),
+        sale(item_id=9, item_status="refunded", commission_w_tax=D("1")),
+        sale(item_id=9, item_status="canceled", gross_amount=D("30")),
+    ])
+    r = rows_by(settlement_summary(t), "settlement_link")["set/10"]
+    # refunded pair: 2 x (100 + 100); canceled line: -max(100, 100, 30)
+    assert r["gross_revenue"] == D("400") - 100
+    assert r["executed_commission_w_tax"] == 0
+    assert r["cancelled_commission_w_tax"] == D("12.1")
