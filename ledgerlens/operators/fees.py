@@ -24,12 +24,15 @@ from ledgerlens.functions.columns import (AMOUNT_SUM, TAX_SUM, add, sum_as)
 from ledgerlens.operators.taxes import attach_rates, with_tax_source
 
 
-def _session_fees(fees: DataFrame, session_ids: DataFrame) -> DataFrame:
-    """Fees of the sessions in the run (``session_ids`` is distinct: 1:1)."""
+def _session_fees(fees: DataFrame, session_ids: DataFrame | None) -> DataFrame:
+    """Fees of the sessions in the run (``session_ids`` is distinct: 1:1); all
+    fees when ``session_ids`` is None (the caller's join restricts them)."""
+    if session_ids is None:
+        return fees
     return fees.join(session_ids, "session_id", "left_semi")
 
 
-def fee_detail(fees: DataFrame, session_ids: DataFrame, rates: DataFrame) -> DataFrame:
+def fee_detail(fees: DataFrame, session_ids: DataFrame | None, rates: DataFrame) -> DataFrame:
     """A2: one row per fee with its resolved rate, invoice tax and rate source.
     Tax is suppressed only when apply_tax is FALSE (TRUE and NULL are taxed)."""
     f = attach_rates(_session_fees(fees, session_ids), rates, F.col("fee_description"))
@@ -48,7 +51,7 @@ def session_fees_invoice(detail: DataFrame) -> DataFrame:
     )
 
 
-def settlement_session_fees(fees: DataFrame, session_ids: DataFrame,
+def settlement_session_fees(fees: DataFrame, session_ids: DataFrame | None,
                             rates: DataFrame) -> DataFrame:
     """A11: session -> settlement fee buckets by *description*, tax included.
 
@@ -134,6 +137,29 @@ def partner_settlement_fees(fees: DataFrame, pairs: DataFrame, rates: DataFrame)
     return _to_partners(per_session, pairs, measures)
 
 
+def partner_session_fee_totals(fees: DataFrame, rates: DataFrame) -> DataFrame:
+    """Per session: the invoice-side marketing fee (A6) and, for each of the
+    five fee types, the settlement fee and its tax (A7) — one aggregation of
+    the fee table, to be multiplied by the session's partner count."""
+    f = attach_rates(fees, rates, F.col("fee_description"))
+    fee, ftype = F.col("fee_settlement"), F.col("fee_type")
+    taxed = F.col("apply_tax") == F.lit(True)
+    aggs: list[Column] = [
+        F.coalesce(sum_as(F.when(ftype == S.FEE_MARKETING, F.col("fee_invoice")), AMOUNT_SUM),
+                   F.lit(0)).cast(AMOUNT_SUM).alias("invoice_marketing_fees")]
+    for type_, prefix, taxable in PARTNER_FEE_BUCKETS:
+        aggs.append(sum_as(F.when(ftype == type_, fee).otherwise(F.lit(0)), AMOUNT_SUM)
+                    .alias(f"{prefix}_fees"))
+        tax = (F.when((ftype == type_) & taxed, fee * F.col("tax_rate")).otherwise(F.lit(0))
+               if taxable else F.lit(0))
+        aggs.append(sum_as(tax, TAX_SUM).alias(f"{prefix}_tax"))
+    return f.groupBy("session_id").agg(*aggs)
+
+
+PARTNER_FEE_MEASURES = ["invoice_marketing_fees"] + [
+    f"{p}_{s}" for _, p, _ in PARTNER_FEE_BUCKETS for s in ("fees", "tax")]
+
+
 def fee_total(df: DataFrame, suffix: str) -> Column:
     return add(*[F.coalesce(F.col(f"{p}_{suffix}"), F.lit(0))
                  for _, p, _ in PARTNER_FEE_BUCKETS])

@@ -6,16 +6,18 @@ item has no amount at all). The settlement report also joins every line to all
 lines with the same (item, status), so a group of n such lines counts each of
 its measures n times and receives the group's consolidated sum.
 
-Both are computed with aggregations instead of windows or self-joins:
-
-* ``key_stats``: (item, status) -> n, summed and max amounts. A groupBy with a
-  map-side partial aggregation, so an item that holds a third of all rows is
-  collapsed before the shuffle (a window would put it in one task).
-* item maxima come from ``key_stats`` (already aggregated, a few rows per item)
-  through a window, not from another scan of the sales lines;
-* lines meet ``key_stats`` in one equi-join; AQE splits a skewed key's
-  partition. Lines with a NULL item or status never match anything and are
-  routed around the join, so NULL keys never pile up in one partition.
+Both are computed with aggregations instead of windows over raw keys or
+self-joins:
+
+* ``item_stats``: item -> reversal amounts plus per-status count and sums for
+  the three known statuses, by one groupBy with conditional aggregates — a
+  map-side partial aggregation, so an item holding a third of all rows is
+  collapsed before the shuffle (a window would put it in one task);
+* statuses outside the known three travel as a small map per item, bounded by
+  the status vocabulary;
+* lines meet the per-item statistics in one left equi-join on the item; AQE
+  splits a skewed item's partition (and that of NULL items, which match
+  nothing), so no key piles up in one task.
 """
 
 from __future__ import annotations
@@ -63,6 +65,7 @@ def consolidated_items(base: DataFrame) -> DataFrame:
 
 
 KNOWN_STATUSES = (S.STATUS_VALIDATED, S.STATUS_CANCELED, S.STATUS_PURCHASED)
+UNCANCELED = (S.STATUS_VALIDATED, S.STATUS_PURCHASED)
 
 
 def _status_tag(status: str) -> str:
@@ -81,66 +84,69 @@ def item_stats(base: DataFrame) -> DataFrame:
             _reversal_agg("collected_amount").alias("hist_collected")]
     for status in KNOWN_STATUSES:
         tag, hit = _status_tag(status), st == status
-        aggs += [F.count(F.when(hit, F.lit(1))).cast("int").alias(f"n_{tag}"),
-                 F.sum(F.when(hit, F.col("gross_amount"))).alias(f"g_{tag}"),
-                 F.sum(F.when(hit, F.col("collected_amount"))).alias(f"c_{tag}")]
+        aggs.append(F.count(F.when(hit, F.lit(1))).cast("int").alias(f"n_{tag}"))
+        if status != S.STATUS_CANCELED:  # canceled lines take the reversal instead
+            aggs += [F.sum(F.when(hit, F.col("gross_amount"))).alias(f"g_{tag}"),
+                     F.sum(F.when(hit, F.col("collected_amount"))).alias(f"c_{tag}")]
     return base.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(*aggs)
 
 
-def _pick(prefix: str) -> F.Column:
+def _pick(prefix: str, statuses=KNOWN_STATUSES) -> F.Column:
     """The per-status column of the line's own (known) status."""
     st = F.col("item_status")
     out = None
-    for status in KNOWN_STATUSES:
+    for status in statuses:
         col = F.col(f"{prefix}_{_status_tag(status)}")
         out = F.when(st == status, col) if out is None else out.when(st == status, col)
     return out
 
 
+def other_status_stats(base: DataFrame) -> DataFrame:
+    """item -> map(status -> (n, g, c)) for the statuses outside the known three.
+
+    Aggregated per (item, status) first; the map then holds one entry per
+    distinct unknown status of the item, bounded by the status vocabulary."""
+    st = F.col("item_status")
+    per_key = (base.where(F.col("item_id").isNotNull() & st.isNotNull()
+                          & ~st.isin(*KNOWN_STATUSES))
+               .groupBy("item_id", "item_status")
+               .agg(F.count(F.lit(1)).cast("int").alias("n"),
+                    F.sum("gross_amount").alias("g"),
+                    F.sum("collected_amount").alias("c")))
+    return per_key.groupBy("item_id").agg(F.map_from_entries(F.collect_list(
+        F.struct("item_status", F.struct("n", "g", "c")))).alias("other"))
+
+
 def settlement_lines(base: DataFrame) -> DataFrame:
     """A12: settlement group -> gross, collected, executed / cancelled / advance
     commission with tax, with the (item, status) self-join multiplicities.
 
-    Lines join the per-item statistics on the item alone (the statistics are
-    already partitioned by it; AQE splits a skewed item). A status outside the
-    known three takes a side path keyed by (item, status); NULL item or status
-    lines match nothing and skip the joins."""
+    One pass over the lines: each line left-joins the per-item statistics on
+    the item alone (they are already partitioned by it; AQE splits a skewed
+    item, and the partition of NULL items, which match nothing)."""
     keys = list(SETTLEMENT_KEYS)
     st, cw = F.col("item_status"), F.col("commission_w_tax")
     canceled = st == S.STATUS_CANCELED
-    has_item = F.col("item_id").isNotNull()
+    stats = item_stats(base).join(other_status_stats(base), "item_id", "left")
+    lines = (base.select(*keys, "item_id", "item_status", "commission_w_tax")
+             .join(stats, "item_id", "left"))
+    other = F.element_at(F.col("other"), st)
+    matched = F.col("item_id").isNotNull() & st.isNotNull()
     known = st.isin(*KNOWN_STATUSES)
-    cols = [*keys, "item_id", "item_status", "commission_w_tax"]
-
-    stats = item_stats(base)
-    keyed = (base.where(has_item & known).select(*cols)
-             .join(stats, "item_id")
-             .select(*cols, _pick("n").alias("n"),
-                     F.when(canceled, F.col("n_c") * F.col("hist_gross"))
-                     .otherwise(_pick("g")).alias("cg"),
-                     F.when(canceled, F.col("n_c") * F.col("hist_collected"))
-                     .otherwise(_pick("c")).alias("cc")))
-    other = base.where(has_item & st.isNotNull() & ~known)
-    other_stats = (other.groupBy("item_id", "item_status")
-                   .agg(F.count(F.lit(1)).cast("int").alias("n"),
-                        F.sum("gross_amount").alias("cg"),
-                        F.sum("collected_amount").alias("cc")))
-    others = other.select(*cols).join(other_stats, ["item_id", "item_status"])
     # NULL item or status: the self-join finds no partner line, so the line
     # counts once and brings no consolidated amount.
-    loose = (base.where(~has_item | st.isNull())
-             .select(*cols, F.lit(1).alias("n"),
-                     F.lit(None).cast("decimal(23,2)").alias("cg"),
-                     F.lit(None).cast("decimal(29,4)").alias("cc")))
-    lines = keyed.unionByName(others, allowMissingColumns=False).unionByName(loose)
+    n = (F.when(~matched, F.lit(1)).when(known, _pick("n")).otherwise(other["n"]))
+    cg = (F.when(~matched, F.lit(None)).when(canceled, F.col("n_c") * F.col("hist_gross"))
+          .when(known, _pick("g", UNCANCELED)).otherwise(other["g"]))
+    cc = (F.when(~matched, F.lit(None)).when(canceled, F.col("n_c") * F.col("hist_collected"))
+          .when(known, _pick("c", UNCANCELED)).otherwise(other["c"]))
 
     def by_status(status: str) -> F.Column:
-        return sum_as(F.when(st == status, F.col("n") * cw).otherwise(F.lit(0)),
-                      TAXED_AMOUNT_SUM)
+        return sum_as(F.when(st == status, n * cw).otherwise(F.lit(0)), TAXED_AMOUNT_SUM)
 
     return lines.groupBy(*keys).agg(
-        sum_as("cg", AMOUNT_SUM).alias("gross_revenue"),
-        sum_as("cc", AMOUNT_SUM).alias("collected_revenue"),
+        sum_as(cg, AMOUNT_SUM).alias("gross_revenue"),
+        sum_as(cc, AMOUNT_SUM).alias("collected_revenue"),
         by_status(S.STATUS_VALIDATED).alias("executed_commission_w_tax"),
         by_status(S.STATUS_CANCELED).alias("cancelled_commission_w_tax"),
         by_status(S.STATUS_PURCHASED).alias("advance_commission_w_tax"),

@@ -19,12 +19,19 @@ def sessions(base: DataFrame) -> DataFrame:
     return base.select("session_id").distinct()
 
 
-def tax_rates(taxes: DataFrame, session_ids: DataFrame) -> DataFrame:
-    """A1: (session, applies_to) -> summed rate as a fraction, for the sessions
-    present in the run. Several rows for one key add up; all-NULL rates give
-    NULL, which later falls through to the default rate."""
+def tax_rates(taxes: DataFrame, session_ids: DataFrame | None = None) -> DataFrame:
+    """A1: (session, applies_to) -> summed rate as a fraction. Several rows for
+    one key add up; all-NULL rates give NULL, which later falls through to the
+    default rate.
+
+    With ``session_ids`` only the sessions of the run are kept (the standalone
+    output). The reports pass none: their joins drop other sessions anyway, and
+    a semi-join fed by the fact table would cost the plan a second pass over it
+    (under a run filter Catalyst's runtime bloom filter does the pruning)."""
+    if session_ids is not None:
+        taxes = taxes.join(session_ids, "session_id", "left_semi")
     return (
-        taxes.join(session_ids, "session_id", "left_semi")
+        taxes
         .groupBy("session_id", "applies_to")
         .agg((F.sum("rate_pct").cast(RATE_SUM_TYPE) * F.lit(PERCENT)).alias("tax_rate"))
     )

@@ -30,13 +30,11 @@ MEASURES = ["commission", "fixed_fees", "total_share", "taxes"]
 def invoice_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     base = run_filter.apply(t.sales).withColumn("invoice_id", F.col("invoice_id").cast("string"))
     keys = list(INVOICE_KEYS)
-    by_plan = commission_by_plan(base, keys)
-    # Only sessions with commission lines reach this report, so the tax and fee
-    # lookups take their sessions from the (small) aggregate, not another scan.
-    session_ids = by_plan.select("session_id").distinct()
-    rates = tax_rates(t.taxes, session_ids)
-    fees = session_fees_invoice(fee_detail(t.fees, session_ids, rates))
-    comm = commission_totals(rate_plans(by_plan, rates), keys)
+    # one pass over the sales lines: everything else joins their aggregate;
+    # the left join from the commission rows keeps only the run's sessions
+    rates = tax_rates(t.taxes)
+    comm = commission_totals(rate_plans(commission_by_plan(base, keys), rates), keys)
+    fees = session_fees_invoice(fee_detail(t.fees, None, rates))
     fin = comm.join(fees, "session_id", "left")
     fee, fee_tax = zero_if_null(F.col("fee_invoice")), zero_if_null(F.col("fee_invoice_tax"))
     return fin.select(

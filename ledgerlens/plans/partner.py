@@ -15,17 +15,18 @@ TOTAL row; zero rows when the filter matches nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
-from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, add, is_commission_line, sub,
-                                          ticket_commission, with_partner_id, zero_if_null)
-from ledgerlens.operators.commission import commission_totals, rate_plans
-from ledgerlens.operators.fees import (fee_total, partner_marketing_fees,
-                                       partner_settlement_fees, session_partners)
+from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM, add,
+                                          is_commission_line, sub, sum_as, ticket_commission,
+                                          with_partner_id, zero_if_null)
+from ledgerlens.operators.commission import rate_plans
+from ledgerlens.operators.fees import (PARTNER_FEE_BUCKETS, PARTNER_FEE_MEASURES,
+                                       partner_session_fee_totals)
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
-from ledgerlens.operators.items import partner_revenue
+from ledgerlens.operators.items import canceled_reversals
 from ledgerlens.operators.taxes import tax_rates
 from ledgerlens.sources.catalog import Tables
 
@@ -48,30 +49,49 @@ def partner_grain(base: DataFrame) -> DataFrame:
 
 
 def partner_summary(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
+    """One linear chain over a single aggregate of the sales lines (plus the
+    item history for reversals):
+
+    lines -> (partner, session, plan) grain -> tax rate per plan
+          -> (session, partner) totals, k = partners of the session (a window
+             over that small table, bounded by the partners of one session)
+          -> + session fee totals x k -> per partner -> + reversals.
+    """
     base = with_partner_id(run_filter.apply(t.sales))
-    grain = partner_grain(base)
-    pairs = session_partners(grain)
-    rates = tax_rates(t.taxes, pairs.select("session_id").distinct())
-    own = grain.groupBy("partner_id").agg(F.sum("own").cast(AMOUNT_SUM).alias("v"))
-    revenue = partner_revenue(base, own)
-    comm = commission_totals(rate_plans(grain, rates), ["partner_id"])
-    mkt = partner_marketing_fees(t.fees, pairs)
-    sfees = partner_settlement_fees(t.fees, pairs, rates)
-    spine = pairs.select("partner_id").distinct()
-    joined = (spine.join(revenue, "partner_id", "left")
-              .join(comm, "partner_id", "left")
-              .join(mkt, "partner_id", "left")
-              .join(sfees, "partner_id", "left"))
-    gross = zero_if_null(F.col("revenue_collected"))
-    commission = zero_if_null(F.col("commission"))
-    total_taxes = add(zero_if_null(F.col("commission_tax")), fee_total(joined, "tax"))
-    payment = sub(sub(sub(gross, commission), fee_total(joined, "fees")), total_taxes)
+    rates = tax_rates(t.taxes)
+    per_pair = (rate_plans(partner_grain(base), rates)
+                .groupBy("session_id", "partner_id")
+                .agg(F.sum("m").cast(AMOUNT_SUM).alias("commission"),
+                     F.sum(F.col("m") * F.col("tax_rate")).cast(TAX_SUM).alias("commission_tax"),
+                     F.sum("own").cast(AMOUNT_SUM).alias("own"))
+                .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("session_id"))))
+    fees = partner_session_fee_totals(t.fees, rates)
+    attributed = per_pair.join(fees, "session_id", "left")
+    per_partner = attributed.groupBy("partner_id").agg(
+        sum_as("commission", AMOUNT_SUM).alias("commission"),
+        sum_as("commission_tax", TAX_SUM).alias("commission_tax"),
+        sum_as("own", AMOUNT_SUM).alias("own"),
+        *[sum_as(F.col(m) * F.col("k"), TAX_SUM if m.endswith("_tax") else AMOUNT_SUM).alias(m)
+          for m in PARTNER_FEE_MEASURES])
+    reversals = canceled_reversals(base).withColumnRenamed("v", "reversed")
+    joined = per_partner.join(reversals, "partner_id", "left")
+
+    # a NULL partner never matches in the source's joins: its row is all zeros
+    def val(c: str) -> F.Column:
+        return F.when(F.col("partner_id").isNull(), F.lit(0)).otherwise(zero_if_null(F.col(c)))
+
+    gross = add(val("own"), val("reversed"))
+    commission = val("commission")
+    fee_tax = add(*[val(f"{p}_tax") for _, p, _ in PARTNER_FEE_BUCKETS])
+    fee_sum = add(*[val(f"{p}_fees") for _, p, _ in PARTNER_FEE_BUCKETS])
+    total_taxes = add(val("commission_tax"), fee_tax)
+    payment = sub(sub(sub(gross, commission), fee_sum), total_taxes)
     dec = "decimal(34,10)"
     return joined.select(
         "partner_id",
         gross.cast(dec).alias("gross_collected"),
         commission.cast(dec).alias("commission"),
-        zero_if_null(F.col("invoice_marketing_fees")).cast(dec).alias("marketing_fees"),
+        val("invoice_marketing_fees").cast(dec).alias("marketing_fees"),
         total_taxes.alias("total_taxes"),
         payment.alias("partner_payment"),
     ).orderBy(F.col("partner_id").asc_nulls_first())

@@ -30,13 +30,11 @@ COLUMNS = ["settlement_link", "input_date", "period_from", "period_to"] + MEASUR
 
 def settlement_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     base = run_filter.apply(t.sales)
-    lines = settlement_lines(base)
-    # every line lands in a settlement group keyed by session, so the sessions
-    # of the run come from the (small) grouped lines, not another scan
-    session_ids = lines.select("session_id").distinct()
-    rates = tax_rates(t.taxes, session_ids)
-    fees = settlement_session_fees(t.fees, session_ids, rates)
-    fin = lines.join(fees, "session_id", "left")
+    # one pass over the sales lines; the left join from the settlement groups
+    # keeps only the run's sessions of the fee table
+    rates = tax_rates(t.taxes)
+    fees = settlement_session_fees(t.fees, None, rates)
+    fin = settlement_lines(base).join(fees, "session_id", "left")
     mkt = zero_if_null(F.col("marketing_fees_w_tax"))
     cash = zero_if_null(F.col("cash_advance_w_tax"))
     other = zero_if_null(F.col("other_fees_w_tax"))
