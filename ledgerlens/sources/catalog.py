@@ -58,19 +58,40 @@ class Tables:
         which is what a cluster wants; a small local run sets it so that scans
         get one task per core.
         """
-        from ledgerlens.functions.columns import partner_id
-
         root = root.rstrip("/")
-        sales = self.sales.withColumn("partner_id", partner_id())
-        if files:
-            sales = sales.repartition(int(files))
-        sales = sales.sortWithinPartitions("partner_id", "contract_code")
-        sales.write.mode("overwrite").parquet(f"{root}/sales_lines")
+        self._write_sales(f"{root}/sales_lines", files)
         self.taxes.write.mode("overwrite").parquet(f"{root}/taxes")
         self.fees.write.mode("overwrite").parquet(f"{root}/fees")
         self.accounts.write.mode("overwrite").parquet(f"{root}/accounts")
         return Tables.from_parquet(self.sales.sparkSession, root)
 
+    @classmethod
+    def ingest(cls, spark: SparkSession, sf_dir: str, root: str,
+               files: int | None = None) -> "Tables":
+        """Derive the tables from the driver data and write them under ``root``.
+
+        The sales lines are written first and the per-session tax rows derived
+        from the written table, so the lineitem/orders join runs once (plus
+        the small filtered one the fee table needs)."""
+        root = root.rstrip("/")
+        sales = fixtures.sales_lines(spark, sf_dir)
+        first = cls(sales, sales.limit(0), sales.limit(0), sales.limit(0))
+        first._write_sales(f"{root}/sales_lines", files)
+        written = spark.read.parquet(f"{root}/sales_lines")
+        fixtures.taxes(spark, sf_dir, written).write.mode("overwrite").parquet(f"{root}/taxes")
+        fixtures.fees(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/fees")
+        fixtures.accounts(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/accounts")
+        return cls.from_parquet(spark, root)
+
+    def _write_sales(self, path: str, files: int | None) -> None:
+        from ledgerlens.functions.columns import partner_id
+
+        sales = self.sales.withColumn("partner_id", partner_id())
+        if files:
+            sales = sales.repartition(int(files))
+        sales.sortWithinPartitions("partner_id", "contract_code").write.mode(
+            "overwrite").parquet(path)
+
     def with_sales(self, sales: DataFrame) -> "Tables":
         return Tables(sales, self.taxes, self.fees, self.accounts)
 
