@@ -22,7 +22,7 @@ from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.plans.invoice import invoice_summary
 from ledgerlens.plans.partner import partner_summary
 from ledgerlens.plans.settlement import settlement_summary
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import apply_unset, cluster_conf, ensure_checkpoint_dir
 from ledgerlens.sinks.export import export_cells
 from ledgerlens.sinks.runlog import append_run_log, run_log_row
 from ledgerlens.sinks.snapshot import snapshot, snapshot_name
@@ -76,8 +76,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--contract-code")
     p.add_argument("--run-date", type=dt.date.fromisoformat)
     p.add_argument("--legacy-strings", action="store_true")
+    p.add_argument("--sales-bytes", type=int,
+                   help="compressed size of the sales history; sizes shuffles and scans")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
+    if a.sales_bytes:
+        apply_unset(spark, cluster_conf(a.sales_bytes))
     row = run(spark, Tables.from_parquet(spark, a.tables), a.report,
               RunFilter(a.partner_id, a.contract_code), a.run_date, a.out, a.legacy_strings)
     print(row.first().asDict())

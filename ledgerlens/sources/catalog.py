@@ -59,7 +59,7 @@ class Tables:
         get one task per core.
         """
         root = root.rstrip("/")
-        self._write_sales(f"{root}/sales_lines", files)
+        _write_sales(self.sales, f"{root}/sales_lines", files)
         self.taxes.write.mode("overwrite").parquet(f"{root}/taxes")
         self.fees.write.mode("overwrite").parquet(f"{root}/fees")
         self.accounts.write.mode("overwrite").parquet(f"{root}/accounts")
@@ -74,28 +74,29 @@ class Tables:
         from the written table, so the lineitem/orders join runs once (plus
         the small filtered one the fee table needs)."""
         root = root.rstrip("/")
-        sales = fixtures.sales_lines(spark, sf_dir)
-        first = cls(sales, sales.limit(0), sales.limit(0), sales.limit(0))
-        first._write_sales(f"{root}/sales_lines", files)
+        _write_sales(fixtures.sales_lines(spark, sf_dir), f"{root}/sales_lines", files)
         written = spark.read.parquet(f"{root}/sales_lines")
         fixtures.taxes(spark, sf_dir, written).write.mode("overwrite").parquet(f"{root}/taxes")
         fixtures.fees(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/fees")
         fixtures.accounts(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/accounts")
         return cls.from_parquet(spark, root)
 
-    def _write_sales(self, path: str, files: int | None) -> None:
-        from ledgerlens.functions.columns import partner_id
-
-        sales = self.sales.withColumn("partner_id", partner_id())
-        if files:
-            sales = sales.repartition(int(files))
-        sales.sortWithinPartitions("partner_id", "contract_code").write.mode(
-            "overwrite").parquet(path)
-
     def with_sales(self, sales: DataFrame) -> "Tables":
         return Tables(sales, self.taxes, self.fees, self.accounts)
 
 
+def _write_sales(sales: DataFrame, path: str, files: int | None) -> None:
+    """Write the sales history with its stored ``partner_id``, each file sorted
+    by (partner, contract); see :meth:`Tables.materialize`."""
+    from ledgerlens.functions.columns import partner_id
+
+    sales = sales.withColumn("partner_id", partner_id())
+    if files:
+        sales = sales.repartition(int(files))
+    sales.sortWithinPartitions("partner_id", "contract_code").write.mode(
+        "overwrite").parquet(path)
+
+
 def has_column(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
