@@ -38,7 +38,7 @@ def commission_by_plan(base: DataFrame, keys: list[str]) -> DataFrame:
 
 def rate_plans(by_plan: DataFrame, rates: DataFrame) -> DataFrame:
     """Attach the resolved tax rate of each (session, plan)."""
-    return attach_rates(by_plan, rates, F.col("plan_id").cast("string"))
+    return attach_rates(by_plan, rates, "CAST(plan_id AS STRING)")
 
 
 def _rated_by_plan(base: DataFrame, keys: list[str], rates: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
+from ledgerlens.functions import sqltext as sql
 from ledgerlens.functions.columns import (AMOUNT_SUM, TAX_SUM, add, sum_as)
 from ledgerlens.operators.taxes import attach_rates, with_tax_source
 
@@ -35,7 +36,7 @@ def _session_fees(fees: DataFrame, session_ids: DataFrame | None) -> DataFrame:
 def fee_detail(fees: DataFrame, session_ids: DataFrame | None, rates: DataFrame) -> DataFrame:
     """A2: one row per fee with its resolved rate, invoice tax and rate source.
     Tax is suppressed only when apply_tax is FALSE (TRUE and NULL are taxed)."""
-    f = attach_rates(_session_fees(fees, session_ids), rates, F.col("fee_description"))
+    f = attach_rates(_session_fees(fees, session_ids), rates, "fee_description")
     tax = F.when(F.col("apply_tax") == F.lit(False), F.lit(0)).otherwise(
         F.col("fee_invoice") * F.col("tax_rate"))
     return with_tax_source(f).select(
@@ -58,7 +59,7 @@ def settlement_session_fees(fees: DataFrame, session_ids: DataFrame | None,
     marketing: always taxed; cash advance: never taxed; any other description:
     taxed unless apply_tax is FALSE; a NULL description is in no bucket.
     """
-    f = attach_rates(_session_fees(fees, session_ids), rates, F.col("fee_description"))
+    f = attach_rates(_session_fees(fees, session_ids), rates, "fee_description")
     fee, desc = F.col("fee_settlement"), F.col("fee_description")
     with_tax = fee + fee * F.col("tax_rate")
     other = F.when(F.col("apply_tax") == F.lit(False), fee).otherwise(with_tax)
@@ -121,7 +122,7 @@ def partner_settlement_fees(fees: DataFrame, pairs: DataFrame, rates: DataFrame)
     Tax only when apply_tax is TRUE (NULL is not taxed); cash advance never.
     Fee types outside the five are not counted."""
     sessions_ = pairs.select("session_id").distinct()
-    f = attach_rates(_session_fees(fees, sessions_), rates, F.col("fee_description"))
+    f = attach_rates(_session_fees(fees, sessions_), rates, "fee_description")
     fee, ftype = F.col("fee_settlement"), F.col("fee_type")
     taxed = F.col("apply_tax") == F.lit(True)
     aggs: list[Column] = []
@@ -141,18 +142,15 @@ def partner_session_fee_totals(fees: DataFrame, rates: DataFrame) -> DataFrame:
     """Per session: the invoice-side marketing fee (A6) and, for each of the
     five fee types, the settlement fee and its tax (A7) — one aggregation of
     the fee table, to be multiplied by the session's partner count."""
-    f = attach_rates(fees, rates, F.col("fee_description"))
-    fee, ftype = F.col("fee_settlement"), F.col("fee_type")
-    taxed = F.col("apply_tax") == F.lit(True)
-    aggs: list[Column] = [
-        F.coalesce(sum_as(F.when(ftype == S.FEE_MARKETING, F.col("fee_invoice")), AMOUNT_SUM),
-                   F.lit(0)).cast(AMOUNT_SUM).alias("invoice_marketing_fees")]
+    f = attach_rates(fees, rates, "fee_description")
+    aggs = [sql.col(f"CAST(coalesce({sql.sum_as(f'CASE WHEN fee_type = {sql.lit(S.FEE_MARKETING)} THEN fee_invoice END', AMOUNT_SUM)}, 0) AS {AMOUNT_SUM})", "invoice_marketing_fees")]
     for type_, prefix, taxable in PARTNER_FEE_BUCKETS:
-        aggs.append(sum_as(F.when(ftype == type_, fee).otherwise(F.lit(0)), AMOUNT_SUM)
-                    .alias(f"{prefix}_fees"))
-        tax = (F.when((ftype == type_) & taxed, fee * F.col("tax_rate")).otherwise(F.lit(0))
-               if taxable else F.lit(0))
-        aggs.append(sum_as(tax, TAX_SUM).alias(f"{prefix}_tax"))
+        is_type = f"fee_type = {sql.lit(type_)}"
+        aggs.append(sql.col(sql.sum_as(f"CASE WHEN {is_type} THEN fee_settlement ELSE 0 END",
+                                       AMOUNT_SUM), f"{prefix}_fees"))
+        tax = (f"CASE WHEN {is_type} AND apply_tax = true THEN fee_settlement * tax_rate ELSE 0 END"
+               if taxable else "0")
+        aggs.append(sql.col(sql.sum_as(tax, TAX_SUM), f"{prefix}_tax"))
     return f.groupBy("session_id").agg(*aggs)
 
 

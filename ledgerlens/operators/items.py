@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
+from ledgerlens.functions import sqltext as sql
 from ledgerlens.functions.columns import AMOUNT_SUM, TAXED_AMOUNT_SUM, sum_as
 
 SETTLEMENT_KEYS = ("session_id", "invoice_id", "period_from", "period_to", "input_date",
@@ -74,31 +75,29 @@ def _status_tag(status: str) -> str:
 
 def item_stats(base: DataFrame) -> DataFrame:
     """item -> reversal amounts plus, for each known status s, the count ``n_s``
-    and sums ``g_s`` / ``c_s`` of its lines' gross and collected amounts.
+    and (except for canceled lines, which take the reversal) the sums ``g_s`` /
+    ``c_s`` of its lines' gross and collected amounts.
 
     One groupBy on the item with conditional aggregates: a partial aggregation
     (a hot item collapses map-side), output hash-partitioned by item — which is
     exactly the partitioning the join back to the lines needs."""
-    st = F.col("item_status")
-    aggs = [_reversal_agg("gross_amount").alias("hist_gross"),
-            _reversal_agg("collected_amount").alias("hist_collected")]
+    aggs = ["coalesce(-max(gross_amount), 0) AS hist_gross",
+            "coalesce(-max(collected_amount), 0) AS hist_collected"]
     for status in KNOWN_STATUSES:
-        tag, hit = _status_tag(status), st == status
-        aggs.append(F.count(F.when(hit, F.lit(1))).cast("int").alias(f"n_{tag}"))
-        if status != S.STATUS_CANCELED:  # canceled lines take the reversal instead
-            aggs += [F.sum(F.when(hit, F.col("gross_amount"))).alias(f"g_{tag}"),
-                     F.sum(F.when(hit, F.col("collected_amount"))).alias(f"c_{tag}")]
-    return base.where(F.col("item_id").isNotNull()).groupBy("item_id").agg(*aggs)
+        tag, hit = _status_tag(status), f"item_status = {sql.lit(status)}"
+        aggs.append(f"CAST(count(CASE WHEN {hit} THEN 1 END) AS INT) AS n_{tag}")
+        if status != S.STATUS_CANCELED:
+            aggs += [f"sum(CASE WHEN {hit} THEN gross_amount END) AS g_{tag}",
+                     f"sum(CASE WHEN {hit} THEN collected_amount END) AS c_{tag}"]
+    return (base.where(F.col("item_id").isNotNull()).groupBy("item_id")
+            .agg(*[F.expr(a) for a in aggs]))
 
 
-def _pick(prefix: str, statuses=KNOWN_STATUSES) -> F.Column:
+def _pick(prefix: str, statuses=KNOWN_STATUSES) -> str:
     """The per-status column of the line's own (known) status."""
-    st = F.col("item_status")
-    out = None
-    for status in statuses:
-        col = F.col(f"{prefix}_{_status_tag(status)}")
-        out = F.when(st == status, col) if out is None else out.when(st == status, col)
-    return out
+    whens = " ".join(f"WHEN item_status = {sql.lit(s)} THEN {prefix}_{_status_tag(s)}"
+                     for s in statuses)
+    return f"CASE {whens} END"
 
 
 def other_status_stats(base: DataFrame) -> DataFrame:
@@ -110,11 +109,10 @@ def other_status_stats(base: DataFrame) -> DataFrame:
     per_key = (base.where(F.col("item_id").isNotNull() & st.isNotNull()
                           & ~st.isin(*KNOWN_STATUSES))
                .groupBy("item_id", "item_status")
-               .agg(F.count(F.lit(1)).cast("int").alias("n"),
-                    F.sum("gross_amount").alias("g"),
-                    F.sum("collected_amount").alias("c")))
-    return per_key.groupBy("item_id").agg(F.map_from_entries(F.collect_list(
-        F.struct("item_status", F.struct("n", "g", "c")))).alias("other"))
+               .agg(F.expr("CAST(count(1) AS INT) AS n"), F.expr("sum(gross_amount) AS g"),
+                    F.expr("sum(collected_amount) AS c")))
+    return per_key.groupBy("item_id").agg(F.expr(
+        "map_from_entries(collect_list(struct(item_status, struct(n, g, c)))) AS other"))
 
 
 def settlement_lines(base: DataFrame) -> DataFrame:
@@ -125,31 +123,32 @@ def settlement_lines(base: DataFrame) -> DataFrame:
     the item alone (they are already partitioned by it; AQE splits a skewed
     item, and the partition of NULL items, which match nothing)."""
     keys = list(SETTLEMENT_KEYS)
-    st, cw = F.col("item_status"), F.col("commission_w_tax")
-    canceled = st == S.STATUS_CANCELED
     stats = item_stats(base).join(other_status_stats(base), "item_id", "left")
     lines = (base.select(*keys, "item_id", "item_status", "commission_w_tax")
              .join(stats, "item_id", "left"))
-    other = F.element_at(F.col("other"), st)
-    matched = F.col("item_id").isNotNull() & st.isNotNull()
-    known = st.isin(*KNOWN_STATUSES)
+    known = "item_status IN (" + ", ".join(sql.lit(s) for s in KNOWN_STATUSES) + ")"
+    canceled = f"item_status = {sql.lit(S.STATUS_CANCELED)}"
+    other = "element_at(other, item_status)"
     # NULL item or status: the self-join finds no partner line, so the line
     # counts once and brings no consolidated amount.
-    n = (F.when(~matched, F.lit(1)).when(known, _pick("n")).otherwise(other["n"]))
-    cg = (F.when(~matched, F.lit(None)).when(canceled, F.col("n_c") * F.col("hist_gross"))
-          .when(known, _pick("g", UNCANCELED)).otherwise(other["g"]))
-    cc = (F.when(~matched, F.lit(None)).when(canceled, F.col("n_c") * F.col("hist_collected"))
-          .when(known, _pick("c", UNCANCELED)).otherwise(other["c"]))
-
-    def by_status(status: str) -> F.Column:
-        return sum_as(F.when(st == status, n * cw).otherwise(F.lit(0)), TAXED_AMOUNT_SUM)
+    unmatched = "item_id IS NULL OR item_status IS NULL"
+    n = f"CASE WHEN {unmatched} THEN 1 WHEN {known} THEN {_pick('n')} ELSE {other}.n END"
+    cg = (f"CASE WHEN {unmatched} THEN NULL WHEN {canceled} THEN n_c * hist_gross "
+          f"WHEN {known} THEN {_pick('g', UNCANCELED)} ELSE {other}.g END")
+    cc = (f"CASE WHEN {unmatched} THEN NULL WHEN {canceled} THEN n_c * hist_collected "
+          f"WHEN {known} THEN {_pick('c', UNCANCELED)} ELSE {other}.c END")
+
+    def by_status(status: str, alias: str) -> F.Column:
+        return sql.col(sql.sum_as(
+            f"CASE WHEN item_status = {sql.lit(status)} THEN ({n}) * commission_w_tax ELSE 0 END",
+            TAXED_AMOUNT_SUM), alias)
 
     return lines.groupBy(*keys).agg(
-        sum_as(cg, AMOUNT_SUM).alias("gross_revenue"),
-        sum_as(cc, AMOUNT_SUM).alias("collected_revenue"),
-        by_status(S.STATUS_VALIDATED).alias("executed_commission_w_tax"),
-        by_status(S.STATUS_CANCELED).alias("cancelled_commission_w_tax"),
-        by_status(S.STATUS_PURCHASED).alias("advance_commission_w_tax"),
+        sql.col(sql.sum_as(cg, AMOUNT_SUM), "gross_revenue"),
+        sql.col(sql.sum_as(cc, AMOUNT_SUM), "collected_revenue"),
+        by_status(S.STATUS_VALIDATED, "executed_commission_w_tax"),
+        by_status(S.STATUS_CANCELED, "cancelled_commission_w_tax"),
+        by_status(S.STATUS_PURCHASED, "advance_commission_w_tax"),
     )
 
 

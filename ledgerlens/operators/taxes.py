@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
-from ledgerlens.functions.columns import PERCENT, RATE_SUM_TYPE, rate_or_zero, tax_source
+from ledgerlens.functions.columns import PERCENT, RATE_SUM_TYPE, tax_source
 
 
 def sessions(base: DataFrame) -> DataFrame:
@@ -37,22 +37,21 @@ def tax_rates(taxes: DataFrame, session_ids: DataFrame | None = None) -> DataFra
     )
 
 
-def attach_rates(df: DataFrame, rates: DataFrame, key: Column) -> DataFrame:
-    """Add ``specific_rate`` (rate whose applies_to equals ``key``), ``default_rate``
-    and the resolved ``tax_rate``. Both sides are unique per key: no fan-out."""
-    specific = rates.select(
-        F.col("session_id").alias("_ts_session"), F.col("applies_to").alias("_ts_key"),
-        F.col("tax_rate").alias("specific_rate"))
-    default = rates.where(F.col("applies_to") == S.TAX_DEFAULT_KEY).select(
-        F.col("session_id").alias("_td_session"), F.col("tax_rate").alias("default_rate"))
-    out = (
-        df.withColumn("_tax_key", key)
-        .join(specific, (F.col("session_id") == F.col("_ts_session"))
-              & (F.col("_tax_key") == F.col("_ts_key")), "left")
-        .join(default, F.col("session_id") == F.col("_td_session"), "left")
-        .drop("_ts_session", "_ts_key", "_td_session", "_tax_key")
+def attach_rates(df: DataFrame, rates: DataFrame, key: str) -> DataFrame:
+    """Add ``specific_rate`` (rate whose applies_to equals the SQL expression
+    ``key``), ``default_rate`` and the resolved ``tax_rate``. Both sides are
+    unique per key: no fan-out."""
+    specific = rates.selectExpr("session_id AS _ts_session", "applies_to AS _ts_key",
+                                "tax_rate AS specific_rate")
+    default = rates.where(F.col("applies_to") == S.TAX_DEFAULT_KEY).selectExpr(
+        "session_id AS _td_session", "tax_rate AS default_rate")
+    return (
+        df.join(specific, F.expr(f"session_id = _ts_session AND {key} = _ts_key"), "left")
+        .join(default, F.expr("session_id = _td_session"), "left")
+        .drop("_ts_session", "_ts_key", "_td_session")
+        .withColumn("tax_rate", F.expr(
+            "coalesce(specific_rate, default_rate, CAST(0 AS decimal(13,6)))"))
     )
-    return out.withColumn("tax_rate", rate_or_zero(F.col("specific_rate"), F.col("default_rate")))
 
 
 def with_tax_source(df: DataFrame) -> DataFrame:

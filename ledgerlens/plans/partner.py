@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
+from ledgerlens.functions import sqltext as sql
 from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM, add,
                                           is_commission_line, sub, sum_as, ticket_commission,
                                           with_partner_id, zero_if_null)
@@ -68,30 +69,30 @@ def partner_summary(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     fees = partner_session_fee_totals(t.fees, rates)
     attributed = per_pair.join(fees, "session_id", "left")
     per_partner = attributed.groupBy("partner_id").agg(
-        sum_as("commission", AMOUNT_SUM).alias("commission"),
-        sum_as("commission_tax", TAX_SUM).alias("commission_tax"),
-        sum_as("own", AMOUNT_SUM).alias("own"),
-        *[sum_as(F.col(m) * F.col("k"), TAX_SUM if m.endswith("_tax") else AMOUNT_SUM).alias(m)
+        sql.col(sql.sum_as("commission", AMOUNT_SUM), "commission"),
+        sql.col(sql.sum_as("commission_tax", TAX_SUM), "commission_tax"),
+        sql.col(sql.sum_as("own", AMOUNT_SUM), "own"),
+        *[sql.col(sql.sum_as(f"{m} * k", TAX_SUM if m.endswith("_tax") else AMOUNT_SUM), m)
           for m in PARTNER_FEE_MEASURES])
     reversals = canceled_reversals(base).withColumnRenamed("v", "reversed")
     joined = per_partner.join(reversals, "partner_id", "left")
 
     # a NULL partner never matches in the source's joins: its row is all zeros
-    def val(c: str) -> F.Column:
-        return F.when(F.col("partner_id").isNull(), F.lit(0)).otherwise(zero_if_null(F.col(c)))
+    def val(c: str) -> str:
+        return f"CASE WHEN partner_id IS NULL THEN 0 ELSE coalesce({c}, 0) END"
 
-    gross = add(val("own"), val("reversed"))
+    gross = sql.add(val("own"), val("reversed"))
     commission = val("commission")
-    fee_tax = add(*[val(f"{p}_tax") for _, p, _ in PARTNER_FEE_BUCKETS])
-    fee_sum = add(*[val(f"{p}_fees") for _, p, _ in PARTNER_FEE_BUCKETS])
-    total_taxes = add(val("commission_tax"), fee_tax)
-    payment = sub(sub(sub(gross, commission), fee_sum), total_taxes)
+    fee_tax = sql.add(*[val(f"{p}_tax") for _, p, _ in PARTNER_FEE_BUCKETS])
+    fee_sum = sql.add(*[val(f"{p}_fees") for _, p, _ in PARTNER_FEE_BUCKETS])
+    total_taxes = sql.add(val("commission_tax"), fee_tax)
+    payment = sql.sub(sql.sub(sql.sub(gross, commission), fee_sum), total_taxes)
     dec = "decimal(34,10)"
     return joined.select(
         "partner_id",
-        gross.cast(dec).alias("gross_collected"),
-        commission.cast(dec).alias("commission"),
-        val("invoice_marketing_fees").cast(dec).alias("marketing_fees"),
-        total_taxes.alias("total_taxes"),
-        payment.alias("partner_payment"),
+        sql.col(f"CAST({gross} AS {dec})", "gross_collected"),
+        sql.col(f"CAST({commission} AS {dec})", "commission"),
+        sql.col(f"CAST({val('invoice_marketing_fees')} AS {dec})", "marketing_fees"),
+        sql.col(total_taxes, "total_taxes"),
+        sql.col(payment, "partner_payment"),
     ).orderBy(F.col("partner_id").asc_nulls_first())

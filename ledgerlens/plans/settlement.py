@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import add, sub, zero_if_null
+from ledgerlens.functions import sqltext as sql
 from ledgerlens.operators.fees import settlement_session_fees
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.operators.items import settlement_lines
@@ -35,21 +35,20 @@ def settlement_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame
     rates = tax_rates(t.taxes)
     fees = settlement_session_fees(t.fees, None, rates)
     fin = settlement_lines(base).join(fees, "session_id", "left")
-    mkt = zero_if_null(F.col("marketing_fees_w_tax"))
-    cash = zero_if_null(F.col("cash_advance_w_tax"))
-    other = zero_if_null(F.col("other_fees_w_tax"))
-    deductions = add(F.col("executed_commission_w_tax"), F.col("cancelled_commission_w_tax"),
-                     F.col("advance_commission_w_tax"), mkt, cash, other)
+    mkt, cash, other = (sql.zero_if_null(c) for c in
+                        ("marketing_fees_w_tax", "cash_advance_w_tax", "other_fees_w_tax"))
+    deductions = sql.add("executed_commission_w_tax", "cancelled_commission_w_tax",
+                         "advance_commission_w_tax", mkt, cash, other)
     dec = "decimal(34,10)"
-    return fin.select(
+    return fin.selectExpr(
         "settlement_link", "input_date", "period_from", "period_to",
-        *[F.col(c).cast(dec).alias(c) for c in
+        *[f"CAST({c} AS {dec}) AS {c}" for c in
           ("gross_revenue", "collected_revenue", "executed_commission_w_tax",
            "cancelled_commission_w_tax", "advance_commission_w_tax")],
-        mkt.cast(dec).alias("marketing_fees_w_tax"),
-        cash.cast(dec).alias("cash_advance_w_tax"),
-        other.cast(dec).alias("other_fees_w_tax"),
-        sub(F.col("collected_revenue"), deductions).alias("partner_settlement"),
+        f"CAST({mkt} AS {dec}) AS marketing_fees_w_tax",
+        f"CAST({cash} AS {dec}) AS cash_advance_w_tax",
+        f"CAST({other} AS {dec}) AS other_fees_w_tax",
+        f"{sql.sub('collected_revenue', deductions)} AS partner_settlement",
     )
 
 

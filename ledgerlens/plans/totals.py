@@ -17,17 +17,17 @@ def with_total(detail: DataFrame, label_col: str, measures: list[str]) -> DataFr
     The TOTAL is a global aggregate, so it returns one row even for an empty
     detail (all sums NULL) — unlike a rollup, which returns none.
     """
-    sums = detail.agg(*[F.sum(m).cast(detail.schema[m].dataType)
-                        if isinstance(detail.schema[m].dataType, DecimalType)
-                        else F.sum(m) for m in measures])
-    sums = sums.toDF(*measures)
-    total = sums.select(*[
-        (F.lit(TOTAL_LABEL) if f.name == label_col
-         else F.col(f.name) if f.name in measures
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in detail.schema.fields
-    ])
-    both = (total.withColumn("_is_total", F.lit(1))
-            .unionByName(detail.withColumn("_is_total", F.lit(0))))
+    fields = detail.schema.fields
+    types = {f.name: f.dataType.simpleString() for f in fields}
+    sums = detail.agg(*[
+        F.expr(f"CAST(sum(`{m}`) AS {types[m]}) AS `{m}`")
+        if isinstance(detail.schema[m].dataType, DecimalType) else F.expr(f"sum(`{m}`) AS `{m}`")
+        for m in measures])
+    total = sums.selectExpr(*[
+        (f"'{TOTAL_LABEL}' AS `{f.name}`" if f.name == label_col
+         else f"`{f.name}`" if f.name in measures
+         else f"CAST(NULL AS {types[f.name]}) AS `{f.name}`")
+        for f in fields], "1 AS _is_total")
+    both = total.unionByName(detail.selectExpr("*", "0 AS _is_total"))
     return both.orderBy(F.col("_is_total").desc(),
                         F.col("input_date").desc_nulls_first()).drop("_is_total")
