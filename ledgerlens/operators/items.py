@@ -140,12 +140,15 @@ def settlement_lines(base: DataFrame) -> DataFrame:
 
     def by_status(status: str, alias: str) -> F.Column:
         return sql.col(sql.sum_as(
-            f"CASE WHEN item_status = {sql.lit(status)} THEN ({n}) * commission_w_tax ELSE 0 END",
+            f"CASE WHEN item_status = {sql.lit(status)} THEN n * commission_w_tax ELSE 0 END",
             TAXED_AMOUNT_SUM), alias)
 
-    return lines.groupBy(*keys).agg(
-        sql.col(sql.sum_as(cg, AMOUNT_SUM), "gross_revenue"),
-        sql.col(sql.sum_as(cc, AMOUNT_SUM), "collected_revenue"),
+    # per-line multiplicity and consolidated amounts, evaluated once per line
+    per_line = lines.selectExpr(*keys, "item_status", "commission_w_tax",
+                                f"{n} AS n", f"{cg} AS cg", f"{cc} AS cc")
+    return per_line.groupBy(*keys).agg(
+        sql.col(sql.sum_as("cg", AMOUNT_SUM), "gross_revenue"),
+        sql.col(sql.sum_as("cc", AMOUNT_SUM), "collected_revenue"),
         by_status(S.STATUS_VALIDATED, "executed_commission_w_tax"),
         by_status(S.STATUS_CANCELED, "cancelled_commission_w_tax"),
         by_status(S.STATUS_PURCHASED, "advance_commission_w_tax"),
