@@ -76,11 +76,6 @@ def is_commission_line() -> Column:
     return F.col("item_status").isin(S.STATUS_VALIDATED, S.STATUS_CANCELED)
 
 
-def rate_or_zero(specific: Column, default: Column) -> Column:
-    """Tax rate fallback: a specific rate, else the session default, else 0."""
-    return F.coalesce(specific, default, F.lit(Decimal("0")).cast("decimal(13,6)"))
-
-
 def tax_source(specific: Column, default: Column) -> Column:
     return (F.when(specific.isNotNull(), F.lit("specific"))
             .when(default.isNotNull(), F.lit("default"))

@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions import sqltext as sql
-from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM, add,
-                                          is_commission_line, sub, sum_as, ticket_commission,
-                                          with_partner_id, zero_if_null)
+from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM,
+                                          is_commission_line, ticket_commission, with_partner_id)
 from ledgerlens.operators.commission import rate_plans
 from ledgerlens.operators.fees import (PARTNER_FEE_BUCKETS, PARTNER_FEE_MEASURES,
                                        partner_session_fee_totals)

@@ -12,7 +12,6 @@ purchased lines as advance commission.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerlens.functions import sqltext as sql
 from ledgerlens.operators.fees import settlement_session_fees

@@ -60,8 +60,6 @@ def _accounts(t: Tables) -> DataFrame:
 
 # -- shared inputs ------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from ledgerlens.functions.columns import with_partner_id  # noqa: E402
 from ledgerlens.operators import commission as C  # noqa: E402
 from ledgerlens.operators import fees as FE  # noqa: E402

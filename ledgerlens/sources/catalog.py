@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlens.sources import fixtures
 
@@ -95,12 +94,3 @@ def _write_sales(sales: DataFrame, path: str, files: int | None) -> None:
         sales = sales.repartition(int(files))
     sales.sortWithinPartitions("partner_id", "contract_code").write.mode(
         "overwrite").parquet(path)
-
-
-def has_column(df: DataFrame, name: str) -> bool:
-    return name in df.columns
-
-
-def stored_or(df: DataFrame, name: str, expr) -> F.Column:
-    """Use a stored column when the table has it, else compute it."""
-    return F.col(name) if has_column(df, name) else expr
