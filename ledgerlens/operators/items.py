@@ -15,9 +15,10 @@ self-joins:
   collapsed before the shuffle (a window would put it in one task);
 * statuses outside the known three travel as a small map per item, bounded by
   the status vocabulary;
-* lines meet the per-item statistics in one left equi-join on the item; AQE
-  splits a skewed item's partition (and that of NULL items, which match
-  nothing), so no key piles up in one task.
+* lines meet the per-item statistics in one equi-join on the item, with a
+  shuffle on both sides so that AQE can split a hot item's partition; lines
+  with a NULL item or status match nothing and skip the join, so NULL keys
+  never pile up in one task.
 """
 
 from __future__ import annotations
@@ -119,33 +120,43 @@ def settlement_lines(base: DataFrame) -> DataFrame:
     """A12: settlement group -> gross, collected, executed / cancelled / advance
     commission with tax, with the (item, status) self-join multiplicities.
 
-    One pass over the lines: each line left-joins the per-item statistics on
-    the item alone (they are already partitioned by it; AQE splits a skewed
-    item, and the partition of NULL items, which match nothing)."""
+    One pass over the keyed lines: each joins the per-item statistics on the
+    item alone. Lines with a NULL item or status match nothing and skip the
+    join (so NULL keys never pile up in one partition)."""
     keys = list(SETTLEMENT_KEYS)
-    stats = item_stats(base).join(other_status_stats(base), "item_id", "left")
-    lines = (base.select(*keys, "item_id", "item_status", "commission_w_tax")
-             .join(stats, "item_id", "left"))
+    cols = [*keys, "item_id", "item_status", "commission_w_tax"]
+    # The statistics leave their aggregation already partitioned by item, so a
+    # join on item_id would read them without a shuffle of their own — and AQE
+    # splits a skewed join partition only when both sides come from a shuffle.
+    # Both sides therefore join on ~item_id (bitwise NOT: a bijection, so the
+    # same matches), which gives each its own shuffle and lets AQE split a hot
+    # item's lines across tasks.
+    stats = (item_stats(base).join(other_status_stats(base), "item_id", "left")
+             .withColumn("_join_item", F.expr("~item_id")).drop("item_id"))
+    matched = F.col("item_id").isNotNull() & F.col("item_status").isNotNull()
+    keyed = (base.where(matched).select(*cols)
+             .withColumn("_join_item", F.expr("~item_id"))
+             .join(stats, "_join_item", "left"))
     known = "item_status IN (" + ", ".join(sql.lit(s) for s in KNOWN_STATUSES) + ")"
     canceled = f"item_status = {sql.lit(S.STATUS_CANCELED)}"
     other = "element_at(other, item_status)"
-    # NULL item or status: the self-join finds no partner line, so the line
-    # counts once and brings no consolidated amount.
-    unmatched = "item_id IS NULL OR item_status IS NULL"
-    n = f"CASE WHEN {unmatched} THEN 1 WHEN {known} THEN {_pick('n')} ELSE {other}.n END"
-    cg = (f"CASE WHEN {unmatched} THEN NULL WHEN {canceled} THEN n_c * hist_gross "
+    n = f"CASE WHEN {known} THEN {_pick('n')} ELSE {other}.n END"
+    cg = (f"CASE WHEN {canceled} THEN n_c * hist_gross "
           f"WHEN {known} THEN {_pick('g', UNCANCELED)} ELSE {other}.g END")
-    cc = (f"CASE WHEN {unmatched} THEN NULL WHEN {canceled} THEN n_c * hist_collected "
+    cc = (f"CASE WHEN {canceled} THEN n_c * hist_collected "
           f"WHEN {known} THEN {_pick('c', UNCANCELED)} ELSE {other}.c END")
+    # per-line multiplicity and consolidated amounts, evaluated once per line;
+    # a NULL item or status counts once and brings no consolidated amount
+    per_line = keyed.selectExpr(*cols, f"{n} AS n", f"CAST({cg} AS decimal(23,2)) AS cg",
+                                f"CAST({cc} AS decimal(29,4)) AS cc").unionByName(
+        base.where(~matched).selectExpr(*cols, "1 AS n", "CAST(NULL AS decimal(23,2)) AS cg",
+                                        "CAST(NULL AS decimal(29,4)) AS cc"))
 
     def by_status(status: str, alias: str) -> F.Column:
         return sql.col(sql.sum_as(
             f"CASE WHEN item_status = {sql.lit(status)} THEN n * commission_w_tax ELSE 0 END",
             TAXED_AMOUNT_SUM), alias)
 
-    # per-line multiplicity and consolidated amounts, evaluated once per line
-    per_line = lines.selectExpr(*keys, "item_status", "commission_w_tax",
-                                f"{n} AS n", f"{cg} AS cg", f"{cc} AS cc")
     return per_line.groupBy(*keys).agg(
         sql.col(sql.sum_as("cg", AMOUNT_SUM), "gross_revenue"),
         sql.col(sql.sum_as("cc", AMOUNT_SUM), "collected_revenue"),
