@@ -53,7 +53,11 @@ def consolidated_items(base: DataFrame) -> DataFrame:
     hist = item_history(base.where(has_item))
     canceled = F.col("item_status") == S.STATUS_CANCELED
     # NULL items match no history; they skip the join (no NULL-key partition).
-    joined = base.where(has_item).join(hist, "item_id").unionByName(
+    # Both sides join on ~item_id so both are shuffled and AQE can split a hot
+    # item (see settlement_lines).
+    hist = hist.withColumn("_join_item", F.expr("~item_id")).drop("item_id")
+    joined = (base.where(has_item).withColumn("_join_item", F.expr("~item_id"))
+              .join(hist, "_join_item").drop("_join_item")).unionByName(
         base.where(~has_item).select(
             "*", F.lit(None).cast("decimal(12,2)").alias("hist_gross"),
             F.lit(None).cast("decimal(18,4)").alias("hist_collected")))
