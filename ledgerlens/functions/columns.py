@@ -25,20 +25,10 @@ TAXED_AMOUNT_SUM = "decimal(30,6)"
 
 
 # Report formulas add and subtract up to seven sums of different scales; each
-# step is narrowed back to this type so no step passes 38 digits.
+# step is narrowed back to this type so no step passes 38 digits (see sqltext.add).
 FORMULA = "decimal(34,10)"
 
 
-def add(*cols: Column) -> Column:
-    """Exact decimal a + b + …, narrowed to ``FORMULA`` after every step."""
-    out = cols[0].cast(FORMULA)
-    for c in cols[1:]:
-        out = (out + c).cast(FORMULA)
-    return out
-
-
-def sub(a: Column, b: Column) -> Column:
-    return (a.cast(FORMULA) - b).cast(FORMULA)
 
 
 def sum_as(col, type_: str) -> Column:
@@ -63,27 +53,8 @@ def with_partner_id(sales: DataFrame) -> DataFrame:
     return sales.withColumn("partner_id", partner_id())
 
 
-def ticket_commission() -> Column:
-    """Commission the platform keeps on a line: the variable commission of a
-    validated line, the cancellation fee of a canceled one, else 0."""
-    st = F.col("item_status")
-    return (F.when(st == S.STATUS_VALIDATED, F.col("commission"))
-            .when(st == S.STATUS_CANCELED, F.col("cancel_fee"))
-            .otherwise(F.lit(0)))
-
-
-def is_commission_line() -> Column:
-    return F.col("item_status").isin(S.STATUS_VALIDATED, S.STATUS_CANCELED)
-
-
-def tax_source(specific: Column, default: Column) -> Column:
-    return (F.when(specific.isNotNull(), F.lit("specific"))
-            .when(default.isNotNull(), F.lit("default"))
-            .otherwise(F.lit("none")))
 
 
-def zero_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))
 
 
 def money_to_double(df: DataFrame) -> DataFrame:

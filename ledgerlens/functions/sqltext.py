@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerlens import schemas as S
 from ledgerlens.functions.columns import FORMULA
 
 
@@ -18,6 +19,17 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _status(s: str) -> str:
+    return f"item_status = {lit(s)}"
+
+
+# the commission the platform keeps on a line (see columns.ticket_commission)
+IS_COMMISSION_LINE = (f"item_status IN ({lit(S.STATUS_VALIDATED)}, "
+                      f"{lit(S.STATUS_CANCELED)})")
+TICKET_COMMISSION = (f"CASE WHEN {_status(S.STATUS_VALIDATED)} THEN commission "
+                     f"WHEN {_status(S.STATUS_CANCELED)} THEN cancel_fee ELSE 0 END")
+
+
 def zero_if_null(e: str) -> str:
     return f"coalesce({e}, 0)"
 

@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM, is_commission_line,
-                                          sum_as, ticket_commission)
+from ledgerlens.functions import sqltext as sql
+from ledgerlens.functions.columns import AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM
 from ledgerlens.operators.taxes import attach_rates
 
 INVOICE_KEYS = ("session_id", "invoice_id", "period_from", "period_to", "input_date",
@@ -29,10 +29,10 @@ def commission_by_plan(base: DataFrame, keys: list[str]) -> DataFrame:
     ``keys`` contains ``session_id``. The map-side partial aggregation here is
     what shrinks the fact table before anything is shuffled."""
     return (
-        base.where(is_commission_line())
-        .select(*keys, "plan_id", ticket_commission().alias("m"))
+        base.where(F.expr(sql.IS_COMMISSION_LINE))
+        .selectExpr(*keys, "plan_id", f"{sql.TICKET_COMMISSION} AS m")
         .groupBy(*keys, "plan_id")
-        .agg(F.sum("m").cast(PARTIAL_MONEY).alias("m"))
+        .agg(sql.col(sql.sum_as("m", PARTIAL_MONEY), "m"))
     )
 
 
@@ -47,8 +47,8 @@ def _rated_by_plan(base: DataFrame, keys: list[str], rates: DataFrame) -> DataFr
 
 def commission_totals(rated: DataFrame, keys: list[str]) -> DataFrame:
     return rated.groupBy(*keys).agg(
-        sum_as("m", AMOUNT_SUM).alias("commission"),
-        sum_as(F.col("m") * F.col("tax_rate"), TAX_SUM).alias("commission_tax"),
+        sql.col(sql.sum_as("m", AMOUNT_SUM), "commission"),
+        sql.col(sql.sum_as("m * tax_rate", TAX_SUM), "commission_tax"),
     )
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions import sqltext as sql
-from ledgerlens.functions.columns import (AMOUNT_SUM, TAX_SUM, add, sum_as)
-from ledgerlens.operators.taxes import attach_rates, with_tax_source
+from ledgerlens.functions.columns import AMOUNT_SUM, TAX_SUM, sum_as
+from ledgerlens.operators.taxes import attach_rates
 
 
 def _session_fees(fees: DataFrame, session_ids: DataFrame | None) -> DataFrame:
@@ -37,18 +37,18 @@ def fee_detail(fees: DataFrame, session_ids: DataFrame | None, rates: DataFrame)
     """A2: one row per fee with its resolved rate, invoice tax and rate source.
     Tax is suppressed only when apply_tax is FALSE (TRUE and NULL are taxed)."""
     f = attach_rates(_session_fees(fees, session_ids), rates, "fee_description")
-    tax = F.when(F.col("apply_tax") == F.lit(False), F.lit(0)).otherwise(
-        F.col("fee_invoice") * F.col("tax_rate"))
-    return with_tax_source(f).select(
+    return f.selectExpr(
         "session_id", "contract_code", "fee_description", "fee_invoice", "tax_rate",
-        tax.alias("fee_invoice_tax"), "tax_source")
+        "CASE WHEN apply_tax = false THEN 0 ELSE fee_invoice * tax_rate END AS fee_invoice_tax",
+        "CASE WHEN specific_rate IS NOT NULL THEN 'specific' "
+        "WHEN default_rate IS NOT NULL THEN 'default' ELSE 'none' END AS tax_source")
 
 
 def session_fees_invoice(detail: DataFrame) -> DataFrame:
     """A3: session -> summed invoice fee and its tax."""
     return detail.groupBy("session_id").agg(
-        sum_as("fee_invoice", AMOUNT_SUM).alias("fee_invoice"),
-        sum_as("fee_invoice_tax", TAX_SUM).alias("fee_invoice_tax"),
+        sql.col(sql.sum_as("fee_invoice", AMOUNT_SUM), "fee_invoice"),
+        sql.col(sql.sum_as("fee_invoice_tax", TAX_SUM), "fee_invoice_tax"),
     )
 
 
@@ -60,17 +60,18 @@ def settlement_session_fees(fees: DataFrame, session_ids: DataFrame | None,
     taxed unless apply_tax is FALSE; a NULL description is in no bucket.
     """
     f = attach_rates(_session_fees(fees, session_ids), rates, "fee_description")
-    fee, desc = F.col("fee_settlement"), F.col("fee_description")
-    with_tax = fee + fee * F.col("tax_rate")
-    other = F.when(F.col("apply_tax") == F.lit(False), fee).otherwise(with_tax)
-    zero = F.lit(0)
+    mkt, cash = sql.lit(S.FEE_MARKETING), sql.lit(S.FEE_CASH_ADVANCE)
+    with_tax = "(fee_settlement + fee_settlement * tax_rate)"
+    other = f"CASE WHEN apply_tax = false THEN fee_settlement ELSE {with_tax} END"
+
+    def bucket(when: str, value: str, type_: str, alias: str) -> Column:
+        total = sql.sum_as(f"CASE WHEN {when} THEN {value} END", type_)
+        return sql.col(f"CAST(coalesce({total}, 0) AS {type_})", alias)
+
     return f.groupBy("session_id").agg(
-        F.coalesce(sum_as(F.when(desc == S.FEE_MARKETING, with_tax), TAX_SUM), zero)
-        .cast(TAX_SUM).alias("marketing_fees_w_tax"),
-        F.coalesce(sum_as(F.when(desc == S.FEE_CASH_ADVANCE, fee), AMOUNT_SUM), zero)
-        .cast(AMOUNT_SUM).alias("cash_advance_w_tax"),
-        F.coalesce(sum_as(F.when(~desc.isin(S.FEE_MARKETING, S.FEE_CASH_ADVANCE), other),
-                          TAX_SUM), zero).cast(TAX_SUM).alias("other_fees_w_tax"),
+        bucket(f"fee_description = {mkt}", with_tax, TAX_SUM, "marketing_fees_w_tax"),
+        bucket(f"fee_description = {cash}", "fee_settlement", AMOUNT_SUM, "cash_advance_w_tax"),
+        bucket(f"fee_description NOT IN ({mkt}, {cash})", other, TAX_SUM, "other_fees_w_tax"),
     )
 
 
@@ -156,8 +157,3 @@ def partner_session_fee_totals(fees: DataFrame, rates: DataFrame) -> DataFrame:
 
 PARTNER_FEE_MEASURES = ["invoice_marketing_fees"] + [
     f"{p}_{s}" for _, p, _ in PARTNER_FEE_BUCKETS for s in ("fees", "tax")]
-
-
-def fee_total(df: DataFrame, suffix: str) -> Column:
-    return add(*[F.coalesce(F.col(f"{p}_{suffix}"), F.lit(0))
-                 for _, p, _ in PARTNER_FEE_BUCKETS])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
-from ledgerlens.functions.columns import PERCENT, RATE_SUM_TYPE, tax_source
+from ledgerlens.functions.columns import PERCENT, RATE_SUM_TYPE
 
 
 def sessions(base: DataFrame) -> DataFrame:
@@ -52,7 +52,3 @@ def attach_rates(df: DataFrame, rates: DataFrame, key: str) -> DataFrame:
         .withColumn("tax_rate", F.expr(
             "coalesce(specific_rate, default_rate, CAST(0 AS decimal(13,6)))"))
     )
-
-
-def with_tax_source(df: DataFrame) -> DataFrame:
-    return df.withColumn("tax_source", tax_source(F.col("specific_rate"), F.col("default_rate")))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import add, zero_if_null
+from ledgerlens.functions import sqltext as sql
 from ledgerlens.operators.commission import (INVOICE_KEYS, commission_by_plan, commission_totals,
                                              rate_plans)
 from ledgerlens.operators.fees import fee_detail, session_fees_invoice
@@ -36,14 +36,14 @@ def invoice_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     comm = commission_totals(rate_plans(commission_by_plan(base, keys), rates), keys)
     fees = session_fees_invoice(fee_detail(t.fees, None, rates))
     fin = comm.join(fees, "session_id", "left")
-    fee, fee_tax = zero_if_null(F.col("fee_invoice")), zero_if_null(F.col("fee_invoice_tax"))
-    return fin.select(
+    fee, fee_tax = sql.zero_if_null("fee_invoice"), sql.zero_if_null("fee_invoice_tax")
+    return fin.selectExpr(
         "invoice_id", "input_date", "period_from", "period_to", "invoice_link",
-        F.col("commission").cast("decimal(34,10)").alias("commission"),
-        fee.cast("decimal(34,10)").alias("fixed_fees"),
-        add(F.col("commission"), fee).alias("total_share"),
+        "CAST(commission AS decimal(34,10)) AS commission",
+        f"CAST({fee} AS decimal(34,10)) AS fixed_fees",
+        f"{sql.add('commission', fee)} AS total_share",
         # no fallback on the commission tax: NULL stays NULL, as in the source
-        add(F.col("commission_tax"), fee_tax).alias("taxes"),
+        f"{sql.add('commission_tax', fee_tax)} AS taxes",
     )
 
 

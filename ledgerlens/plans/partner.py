@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions import sqltext as sql
-from ledgerlens.functions.columns import (AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM,
-                                          is_commission_line, ticket_commission, with_partner_id)
+from ledgerlens.functions.columns import AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM, with_partner_id
 from ledgerlens.operators.commission import rate_plans
 from ledgerlens.operators.fees import (PARTNER_FEE_BUCKETS, PARTNER_FEE_MEASURES,
                                        partner_session_fee_totals)
@@ -40,12 +39,13 @@ def partner_grain(base: DataFrame) -> DataFrame:
 
     One partial aggregation of the sales lines serves the commission, its tax,
     the revenue and the (session, partner) pairs of the report."""
-    st = F.col("item_status")
-    own = F.when(~st.eqNullSafe(S.STATUS_CANCELED),
-                 F.when(st != S.STATUS_PURCHASED, F.col("collected_amount")).otherwise(F.lit(0)))
+    own = (f"CASE WHEN NOT (item_status <=> {sql.lit(S.STATUS_CANCELED)}) THEN "
+           f"CASE WHEN item_status != {sql.lit(S.STATUS_PURCHASED)} THEN collected_amount "
+           f"ELSE 0 END END")
     return base.groupBy("partner_id", "session_id", "plan_id").agg(
-        F.sum(F.when(is_commission_line(), ticket_commission())).cast(PARTIAL_MONEY).alias("m"),
-        F.sum(own).cast(AMOUNT_SUM).alias("own"))
+        sql.col(sql.sum_as(f"CASE WHEN {sql.IS_COMMISSION_LINE} THEN {sql.TICKET_COMMISSION} END",
+                           PARTIAL_MONEY), "m"),
+        sql.col(sql.sum_as(own, AMOUNT_SUM), "own"))
 
 
 def partner_summary(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
