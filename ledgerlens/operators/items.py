@@ -13,8 +13,8 @@ self-joins:
   the three known statuses, by one groupBy with conditional aggregates — a
   map-side partial aggregation, so an item holding a third of all rows is
   collapsed before the shuffle (a window would put it in one task);
-* statuses outside the known three travel as a small map per item, bounded by
-  the status vocabulary;
+* lines with a status outside the known three (rare) take a side path keyed by
+  (item, status);
 * lines meet the per-item statistics in one equi-join on the item, with a
   shuffle on both sides so that AQE can split a hot item's partition; lines
   with a NULL item or status match nothing and skip the join, so NULL keys
@@ -105,56 +105,46 @@ def _pick(prefix: str, statuses=KNOWN_STATUSES) -> str:
     return f"CASE {whens} END"
 
 
-def other_status_stats(base: DataFrame) -> DataFrame:
-    """item -> map(status -> (n, g, c)) for the statuses outside the known three.
-
-    Aggregated per (item, status) first; the map then holds one entry per
-    distinct unknown status of the item, bounded by the status vocabulary."""
-    st = F.col("item_status")
-    per_key = (base.where(F.col("item_id").isNotNull() & st.isNotNull()
-                          & ~st.isin(*KNOWN_STATUSES))
-               .groupBy("item_id", "item_status")
-               .agg(F.expr("CAST(count(1) AS INT) AS n"), F.expr("sum(gross_amount) AS g"),
-                    F.expr("sum(collected_amount) AS c")))
-    return per_key.groupBy("item_id").agg(F.expr(
-        "map_from_entries(collect_list(struct(item_status, struct(n, g, c)))) AS other"))
-
-
 def settlement_lines(base: DataFrame) -> DataFrame:
     """A12: settlement group -> gross, collected, executed / cancelled / advance
     commission with tax, with the (item, status) self-join multiplicities.
 
-    One pass over the keyed lines: each joins the per-item statistics on the
-    item alone. Lines with a NULL item or status match nothing and skip the
-    join (so NULL keys never pile up in one partition)."""
+    Lines with a known status join the per-item statistics on the item; lines
+    with any other status join their own (item, status) statistics (a small
+    side path: such statuses are rare); lines with a NULL item or status match
+    nothing and skip the joins, so NULL keys never pile up in one partition."""
     keys = list(SETTLEMENT_KEYS)
     cols = [*keys, "item_id", "item_status", "commission_w_tax"]
-    # The statistics leave their aggregation already partitioned by item, so a
-    # join on item_id would read them without a shuffle of their own — and AQE
+    st = F.col("item_status")
+    has_item = F.col("item_id").isNotNull()
+    known = st.isin(*KNOWN_STATUSES)
+    # The statistics leave their aggregation already partitioned by their key,
+    # so a join on it would read them without a shuffle of their own — and AQE
     # splits a skewed join partition only when both sides come from a shuffle.
     # Both sides therefore join on ~item_id (bitwise NOT: a bijection, so the
     # same matches), which gives each its own shuffle and lets AQE split a hot
     # item's lines across tasks.
-    stats = (item_stats(base).join(other_status_stats(base), "item_id", "left")
-             .withColumn("_join_item", F.expr("~item_id")).drop("item_id"))
-    matched = F.col("item_id").isNotNull() & F.col("item_status").isNotNull()
-    keyed = (base.where(matched).select(*cols)
-             .withColumn("_join_item", F.expr("~item_id"))
-             .join(stats, "_join_item", "left"))
-    known = "item_status IN (" + ", ".join(sql.lit(s) for s in KNOWN_STATUSES) + ")"
+    stats = item_stats(base).withColumn("_j", F.expr("~item_id")).drop("item_id")
     canceled = f"item_status = {sql.lit(S.STATUS_CANCELED)}"
-    other = "element_at(other, item_status)"
-    n = f"CASE WHEN {known} THEN {_pick('n')} ELSE {other}.n END"
-    cg = (f"CASE WHEN {canceled} THEN n_c * hist_gross "
-          f"WHEN {known} THEN {_pick('g', UNCANCELED)} ELSE {other}.g END")
-    cc = (f"CASE WHEN {canceled} THEN n_c * hist_collected "
-          f"WHEN {known} THEN {_pick('c', UNCANCELED)} ELSE {other}.c END")
-    # per-line multiplicity and consolidated amounts, evaluated once per line;
+    with_known = (base.where(has_item & known).select(*cols)
+                  .withColumn("_j", F.expr("~item_id")).join(stats, "_j")
+                  .selectExpr(*cols, f"{_pick('n')} AS n",
+                              f"CAST(CASE WHEN {canceled} THEN n_c * hist_gross "
+                              f"ELSE {_pick('g', UNCANCELED)} END AS decimal(23,2)) AS cg",
+                              f"CAST(CASE WHEN {canceled} THEN n_c * hist_collected "
+                              f"ELSE {_pick('c', UNCANCELED)} END AS decimal(29,4)) AS cc"))
+    other_lines = base.where(has_item & st.isNotNull() & ~known)
+    other_stats = (other_lines.groupBy("item_id", "item_status")
+                   .agg(F.expr("CAST(count(1) AS INT) AS n"),
+                        F.expr("CAST(sum(gross_amount) AS decimal(23,2)) AS cg"),
+                        F.expr("CAST(sum(collected_amount) AS decimal(29,4)) AS cc"))
+                   .withColumn("_j", F.expr("~item_id")).drop("item_id"))
+    with_other = (other_lines.select(*cols).withColumn("_j", F.expr("~item_id"))
+                  .join(other_stats, ["_j", "item_status"]).select(*cols, "n", "cg", "cc"))
     # a NULL item or status counts once and brings no consolidated amount
-    per_line = keyed.selectExpr(*cols, f"{n} AS n", f"CAST({cg} AS decimal(23,2)) AS cg",
-                                f"CAST({cc} AS decimal(29,4)) AS cc").unionByName(
-        base.where(~matched).selectExpr(*cols, "1 AS n", "CAST(NULL AS decimal(23,2)) AS cg",
-                                        "CAST(NULL AS decimal(29,4)) AS cc"))
+    loose = base.where(~has_item | st.isNull()).selectExpr(
+        *cols, "1 AS n", "CAST(NULL AS decimal(23,2)) AS cg", "CAST(NULL AS decimal(29,4)) AS cc")
+    per_line = with_known.unionByName(with_other).unionByName(loose)
 
     def by_status(status: str, alias: str) -> F.Column:
         return sql.col(sql.sum_as(
