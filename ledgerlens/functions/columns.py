@@ -7,8 +7,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens import schemas as S
-
 # Tax rates are summed percentages; as a fraction they carry 6 decimals.
 # Multiplying by a decimal 0.01 (not dividing by 100) keeps the result DECIMAL
 # and exact: decimal(10,4) * decimal(2,2) -> decimal(13,6).
@@ -22,15 +20,11 @@ PARTIAL_MONEY = "decimal(24,4)"
 AMOUNT_SUM = "decimal(28,4)"
 TAX_SUM = "decimal(30,10)"
 TAXED_AMOUNT_SUM = "decimal(30,6)"
-
-
 # Report formulas add and subtract up to seven sums of different scales; each
 # step is narrowed back to this type so no step passes 38 digits (see sqltext.add).
 FORMULA = "decimal(34,10)"
 
 
-
-
 def sum_as(col, type_: str) -> Column:
     """SUM of a decimal narrowed to a fixed result type (ANSI: overflow fails)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -53,10 +47,6 @@ def with_partner_id(sales: DataFrame) -> DataFrame:
     return sales.withColumn("partner_id", partner_id())
 
 
-
-
-
-
 def money_to_double(df: DataFrame) -> DataFrame:
     """Cast every DECIMAL column to DOUBLE (presentation for engine-neutral checks)."""
     from pyspark.sql.types import DecimalType
