@@ -52,12 +52,12 @@ def cluster_conf(sales_bytes: int) -> dict[str, str]:
 
 
 def apply_unset(spark: SparkSession, conf: dict[str, str]) -> None:
-    """Set each runtime SQL option the session does not already carry."""
+    """Set each runtime SQL option that was not given when the application was
+    launched (what the operator configured for the cluster always wins)."""
+    launched = spark.sparkContext.getConf()
     for k, v in conf.items():
-        if k.startswith("spark.sql.") and spark.conf.get(k, None) in (None, ""):
+        if k.startswith("spark.sql.") and not launched.contains(k):
             spark.conf.set(k, v)
-        elif k == "spark.sql.shuffle.partitions" and spark.conf.get(k) == "200":
-            spark.conf.set(k, v)  # the built-in default: replace with the sized value
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,

@@ -13,13 +13,15 @@ def test_cluster_conf_sizes_shuffles_for_the_fact():
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_apply_unset_keeps_what_the_user_set(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    apply_unset(spark, {"spark.sql.files.maxPartitionBytes": "512m",
-                        "spark.sql.shuffle.partitions": "5000"})
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # not the default 200
+def test_apply_unset_keeps_launch_settings(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    saved, before = spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_unset(spark, {key: "512m", "spark.sql.shuffle.partitions": "5000"})
+        assert spark.conf.get(key) == "512m"                                # not given at launch
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before  # given at launch
+    finally:
+        spark.conf.set(key, saved)
 
 
 def test_scratch_folders_live_under_the_checkpoint_dir(spark):

@@ -87,3 +87,23 @@ def test_job_rejects_unknown_report(spark):
     t = make_tables(spark, sales=[sale()])
     with pytest.raises(ValueError):
         run(spark, t, "nonsense")
+
+
+def test_job_command_line(spark, capsys):
+    from ledgerlens.job import main
+
+    tables = make_tables(spark, sales=[sale(), sale(partner_raw="2")], taxes=[tax()],
+                         fees=[fee()])
+    root = scratch_dir(spark, "cli-tables")
+    tables.materialize(root)
+    out = scratch_dir(spark, "cli-out")
+    sized = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    saved = {k: spark.conf.get(k) for k in sized}
+    try:
+        main(["--report", "settlement_summary", "--tables", root, "--out", out,
+              "--partner-id", "1000", "--run-date", "2024-02-03", "--sales-bytes", "1000000"])
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert "settlement_summary_20240203" in capsys.readouterr().out
+    assert spark.read.parquet(f"{out}/snapshots/settlement_summary_20240203").count() == 2
