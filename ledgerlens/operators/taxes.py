@@ -26,8 +26,9 @@ def tax_rates(taxes: DataFrame, session_ids: DataFrame | None = None) -> DataFra
 
     With ``session_ids`` only the sessions of the run are kept (the standalone
     output). The reports pass none: their joins drop other sessions anyway, and
-    a semi-join fed by the fact table would cost the plan a second pass over it
-    (under a run filter Catalyst's runtime bloom filter does the pruning)."""
+    a semi-join fed by the fact table would cost the plan a second pass over it.
+    A filtered run therefore aggregates the whole (session-sized) tax table;
+    Spark's runtime bloom filter may prune that scan when it is large."""
     if session_ids is not None:
         taxes = taxes.join(session_ids, "session_id", "left_semi")
     return (
