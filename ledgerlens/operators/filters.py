@@ -1,7 +1,7 @@
 """Run filters (optional pre-filter of the sales history by partner or contract).
 
 Filters are typed Column predicates, never SQL text. A partner filter wins over
-a contract filter; an empty, zero or missing value means "no filter".
+a contract filter; an empty, numeric-zero or missing value means "no filter".
 """
 
 from __future__ import annotations
@@ -21,9 +21,11 @@ class RunFilter:
 
     @property
     def kind(self) -> str:
-        if self.partner_id not in (None, "", 0, "0"):
+        # A value is "given" when it is truthy, as in the source system: None, ""
+        # and the number 0 mean no filter, while the text "0" is partner 0.
+        if self.partner_id:
             return "partner"
-        if self.contract_code not in (None, ""):
+        if self.contract_code:
             return "contract"
         return "none"
 

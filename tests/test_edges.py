@@ -193,6 +193,8 @@ def test_partner_filter_wins_over_contract(spark):
     f = RunFilter(partner_id=1000, contract_code="C2")
     assert f.kind == "partner"
     assert RunFilter(partner_id=0, contract_code="C2").kind == "contract"
+    assert RunFilter(partner_id="0").kind == "partner"      # request text "0" is partner 0
+    assert RunFilter(partner_id="", contract_code="").kind == "none"
     assert RunFilter().kind == "none"
     t = make_tables(spark, sales=[sale(contract_code="C1"), sale(partner_raw="9", contract_code="C2")])
     rows = partner_summary(t, f).collect()
