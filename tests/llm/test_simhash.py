@@ -1,0 +1,113 @@
+"""Operator 1 against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import op1_simhash as S
+from ledgerlens.llm.components import components
+from tests.llm.conftest import SF0001, documents, texts
+
+SPACES = {" ", "\t", "\n", "\r", "\x0b", "\x0c"}
+
+
+def slow_fingerprint(text, k=4):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = "".join(" " if c in SPACES else c for c in low).split(" ")
+    words = [w for w in words if w]
+    if not words:
+        return 0
+    k = min(k, len(words))
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i:i + k]).encode(), 42)
+              for i in range(len(words) - k + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_classes(fps, distance=4):
+    """fp -> smallest fp reachable, by all pairs."""
+    order = sorted(fps)
+    root = {f: f for f in order}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for i, a in enumerate(order):
+        for b in order[i + 1:]:
+            if (a ^ b).bit_count() <= distance:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {f: find(f) for f in order}
+
+
+def as_unsigned(v):
+    return v & (1 << 64) - 1
+
+
+def classes_of(rows):
+    """The partition that pairs (node, class) make."""
+    out = {}
+    for node, c in rows:
+        out.setdefault(c, set()).add(node)
+    return sorted(sorted(x) for x in out.values())
+
+
+def test_fingerprint():
+    for text in ["", None, " \n", "One", "one two three", "A b c D\te f " * 30,
+                 "ÄÖ İ straße x", "word " * 9]:
+        assert S.fingerprint((text or "").encode()) == slow_fingerprint(text), text
+
+
+@pytest.mark.parametrize("depth,crowd", [(0, 10**6), (5, 10**6), (13, 10**6), (0, 10), (6, 20)])
+def test_links_have_the_components_of_all_pairs(spark, depth, crowd):
+    rng = random.Random(depth)
+    fps = {0, 1, 0xF, 0x1F, (1 << 64) - 1}
+    for _ in range(25):
+        centre = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 4, 12])):
+            f = centre
+            for b in rng.sample(range(64), rng.randint(0, 6)):
+                f ^= 1 << b
+            fps.add(f)
+    fps = list(fps)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    links = S.links(df, 4, depth, crowd)
+    roots = {as_unsigned(r["node"]): as_unsigned(r["root"]) for r in components(links).collect()}
+    want = slow_classes(fps)
+    assert classes_of((f, roots.get(f, f)) for f in fps) == classes_of(want.items())
+
+
+def test_whole_table(spark):
+    docs = texts(spark)
+    fps = {i: slow_fingerprint(t) for i, t in docs.items()}
+    root = slow_classes(set(fps.values()))
+    least = {}
+    for i, f in fps.items():
+        least[root[f]] = min(i, least.get(root[f], i))
+    got = S.op1_simhash(spark, SF0001).collect()
+    assert {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in got} == {
+        (i, f"{f:016x}", least[root[f]]) for i, f in fps.items()}
+
+
+def test_nulls_ties_and_clashing_columns(spark):
+    rows = [(7, None), (3, ""), (None, " "), (9, "a b c d e"), (9, "a b c d e"), (None, "q r"),
+            (12, "z " * 200_000)]
+    docs = documents(spark, rows).withColumn("key", F.lit(1)).withColumn("fp", F.lit(2))
+    got = S.near_classes(docs).collect()
+    assert len(got) == len(rows)
+    assert {r["doc_id"] for r in got if r["component_id"] == 3} == {7, 3, None}
+    out = S.dedup(docs)
+    assert out.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in out.collect()) == ["12", "3", "9", "9", "None"]
+    empty = docs.where("doc_id < 0")
+    assert S.near_classes(empty).count() == 0 and S.dedup(empty).count() == 0
+
+
+def test_odd_distance_is_refused(spark):
+    with pytest.raises(ValueError):
+        S.links(spark.createDataFrame([(1,)], "fp long"), 3)
