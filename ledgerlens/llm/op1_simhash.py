@@ -10,9 +10,9 @@ The variants travel packed: all variants of a fingerprint with the same leading
 the prefix unpacks them. A fingerprint so costs 1 + depth + depth(depth-1)/2 rows
 (37 at depth 8, 301 at depth 24), not 2,081; the depth grows with the number of
 distinct fingerprints, so a prefix stays at about ``VARIANTS`` variants at any
-size. A prefix with more than ``CROWD`` fingerprints (a dense group of near
-copies) isn't held in memory: its rows pass on and are unpacked to whole variants,
-each of which at most 2,081 distinct fingerprints can share, in a second shuffle.
+size. A prefix with more than ``CROWD`` variants (a dense group of near copies) isn't
+worked on in one task: its rows pass on and are dealt again by a longer prefix, if
+need be up to whole variants, each of which at most 2,081 distinct fingerprints share.
 
 Links stay few: a task reduces its verified links to one star per component it
 sees (smallest fingerprint, other fingerprint). Components of all tasks' stars come
@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.components import components
@@ -44,7 +44,8 @@ from ledgerlens.llm.frames import (
 U64 = np.uint64
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 VARIANTS = 1 << 21  # variants per prefix aimed at
-CROWD = 1 << 15     # fingerprints of one prefix held in memory
+CROWD = 1 << 25     # variants of one prefix worked on in one task
+DEEPER = 14         # bits by which the prefix of a crowd grows
 _SLICE = 1 << 21    # variants sorted at a time
 _BITS = 1 << 16     # shingles whose bits are summed at a time
 
@@ -88,11 +89,25 @@ def masks(bits: int, weight: int) -> list[int]:
             for on in combinations(range(bits), w)]
 
 
+def _far(prefix: int, fps: np.ndarray, depth: int) -> np.ndarray:
+    """Bits in which the leading ``depth`` bits of each fingerprint differ from prefix."""
+    if not depth:
+        return np.zeros(len(fps), np.uint8)
+    return np.bitwise_count((fps >> U64(64 - depth)) ^ U64(prefix))
+
+
+def variants(prefix: int, fps: np.ndarray, depth: int, radius: int) -> int:
+    """How many variants ``unpacked`` gives."""
+    far = _far(prefix, fps, depth)
+    return sum(int((far == r).sum()) * len(masks(64 - depth, radius - r))
+               for r in range(radius + 1))
+
+
 def unpacked(prefix: int, fps: np.ndarray, depth: int, radius: int):
     """(variant, index into ``fps``) arrays, piece by piece, of the variants of
     ``fps`` whose leading ``depth`` bits are ``prefix``."""
     low = 64 - depth
-    far = np.bitwise_count((fps >> U64(low)) ^ U64(prefix)) if depth else np.zeros(len(fps), int)
+    far = _far(prefix, fps, depth)
     base = (fps & U64((1 << low) - 1)) | U64(prefix << low)
     for spent in range(radius + 1):
         own = np.flatnonzero(far == spent)
@@ -122,9 +137,7 @@ def prefix_links(prefix: int, fps: np.ndarray, depth: int, distance: int) -> np.
     """Stars (n x 2) of the components that the distinct ``fps`` form by meeting on
     variants below ``prefix``."""
     radius = distance // 2
-    far = np.bitwise_count((fps >> U64(64 - depth)) ^ U64(prefix)) if depth else 0 * fps
-    total = sum(int((far == r).sum()) * len(masks(64 - depth, radius - r))
-                for r in range(radius + 1))
+    total = variants(prefix, fps, depth, radius)
     classes = -(-total // _SLICE)  # of variants, sorted one after another
     pairs = [np.empty((0, 2), np.int64)]
     for c in range(classes):
@@ -157,26 +170,26 @@ def _prefix_tasks(depth: int, distance: int, crowd: int):
                       b=longs(np.asarray(b, U64)))
 
     def run(it):
-        ball, held, over = None, [], False
+        ball, held, size, over = 0, [], 0, False
 
         def closed():
-            if ball is not None and held and not over:
-                fps = np.concatenate(held)
-                if len(fps) > 1:
-                    links = prefix_links(int(ball), fps, depth, distance)
-                    yield out(False, links[:, 0], links[:, 1])
+            if held and not over:
+                links = prefix_links(ball, np.concatenate(held), depth, distance)
+                yield out(False, links[:, 0], links[:, 1])
 
         for batch in it:
-            balls = batch.column("ball").to_numpy()
+            balls = batch.column("ball").to_numpy().view(U64)
             fps = batch.column("fp").to_numpy().view(U64)
-            cuts = np.flatnonzero(np.diff(balls)) + 1
-            for here, part in zip(balls[np.concatenate([[0], cuts])] if len(balls) else [],
-                                  np.split(fps, cuts)):
-                if ball is None or here != ball:
+            cuts = np.flatnonzero(balls[1:] != balls[:-1]) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(balls)]):
+                if a == b:
+                    continue
+                if int(balls[a]) != ball:
                     yield from closed()
-                    ball, held, over = here, [], False
-                held.append(part)
-                if over or sum(map(len, held)) > crowd:
+                    ball, held, size, over = int(balls[a]), [], 0, False
+                held.append(fps[a:b])
+                size += variants(ball, fps[a:b], depth, distance // 2)
+                if over or size > crowd:
                     crowded = np.concatenate(held)
                     yield out(True, np.full(len(crowded), ball, U64), crowded)
                     held, over = [], True
@@ -185,21 +198,26 @@ def _prefix_tasks(depth: int, distance: int, crowd: int):
     return run
 
 
-def _crowd_links(rows: DataFrame, depth: int, distance: int) -> DataFrame:
-    """Links of crowded prefixes (ball, fp) by whole variants: a variant's smallest
-    fingerprint with each other one, each pair once."""
-    def run(batch: pa.RecordBatch):
-        balls = batch.column("ball").to_numpy()
-        fps = batch.column("fp").to_numpy().view(U64)
-        for ball in np.unique(balls):
-            own = fps[balls == ball]
-            for variant, at in unpacked(int(ball), own, depth, distance // 2):
-                yield record(variant=longs(variant), fp=longs(own[at]))
+def _deeper(depth: int, to: int, distance: int):
+    """mapInArrow body: the rows (ball, fp) of prefixes at ``depth`` as rows of the
+    longer prefixes that their variants have."""
+    more = to - depth
 
-    spread = map_arrow(rows.repartition("ball", "fp"), run, "variant long, fp long")
-    least = F.min("fp").over(Window.partitionBy("variant"))
-    pairs = spread.withColumn("a", least).where("a <> fp").select("a", F.col("fp").alias("b"))
-    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).distinct()
+    def run(it):
+        for batch in it:
+            for rows in range(0, batch.num_rows, 4096):
+                part = batch.slice(rows, 4096)
+                balls = part.column("ball").to_numpy().view(U64)
+                fps = part.column("fp").to_numpy().view(U64)
+                far = _far(balls, fps, depth) if depth else _far(0, fps, 0)
+                lead = (balls << U64(more)) | ((fps >> U64(64 - to)) & U64((1 << more) - 1))
+                for spent in range(distance // 2 + 1):
+                    own = far == spent
+                    flips = np.array(masks(more, distance // 2 - spent), U64)
+                    yield record(ball=longs((lead[own][:, None] ^ flips).ravel()),
+                                 fp=longs(np.repeat(fps[own], len(flips))))
+
+    return run
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, depth: int | None = None,
@@ -215,14 +233,19 @@ def links(fps: DataFrame, distance: int = DISTANCE, depth: int | None = None,
     lead = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
     rows = (fps.select("fp", F.explode(flips).alias("flip"))
             .select(lead.bitwiseXOR(F.col("flip")).alias("ball"), "fp"))
-    met = written(tasks(rows.repartition("ball").sortWithinPartitions("ball"),
-                        _prefix_tasks(depth, distance, crowd), "over boolean, a long, b long"),
-                  "simhash-links")
-    found = met.where("NOT over").select("a", "b")
-    crowded = met.where("over").select(F.col("a").alias("ball"), F.col("b").alias("fp"))
-    if not crowded.isEmpty():
-        found = found.unionByName(_crowd_links(crowded, depth, distance))
-    return found
+    found = None
+    while True:
+        met = written(tasks(rows.repartition("ball").sortWithinPartitions("ball"),
+                            _prefix_tasks(depth, distance, crowd if depth < 64 else 1 << 62),
+                            "over boolean, a long, b long"), "simhash-links")
+        here = met.where("NOT over").select("a", "b")
+        found = here if found is None else found.unionByName(here)
+        crowded = met.where("over").select(F.col("a").alias("ball"), F.col("b").alias("fp"))
+        if depth == 64 or crowded.isEmpty():
+            return found
+        depth, last = min(64, depth + DEEPER), depth
+        rows = tasks(crowded.repartition("ball", "fp"), _deeper(last, depth, distance),
+                     "ball long, fp long")
 
 
 def near_classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
