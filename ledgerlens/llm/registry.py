@@ -3,7 +3,8 @@
 from ledgerlens.llm.op1_simhash import op1_simhash
 from ledgerlens.llm.op2_substring import op2_substring
 from ledgerlens.llm.op3_exact import OP3_SQL, op3_exact
+from ledgerlens.llm.op9_langid import op9_langid
 from ledgerlens.llm.op10_decontam import op10_decontam
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_substring, op3_exact, op10_decontam)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_substring, op3_exact, op9_langid, op10_decontam)}
 ORACLE = {"op3_exact": OP3_SQL}
