@@ -42,7 +42,7 @@ from ledgerlens.llm.words import batches, mix
 
 ORDER = 5
 MODEL_ROWS = 4_000_000
-SIGMAS, FEW, LEAST_SPREAD = 8.0, 50, 0.1
+SIGMAS, FEW, LEAST_SPREAD = 8.0, 20, 0.1
 UNKNOWN = "und"
 _CHARS = 1 << 20
 _SPACE = 32
