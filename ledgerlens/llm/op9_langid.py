@@ -19,7 +19,8 @@ A larger model stays a Spark table: documents' gram counts meet it in joins
 Rejection is calibrated on all learning rows whose prediction is their label: per
 language and length class (powers of four) a document is rejected when its
 cross-entropy lies more than ``SIGMAS`` standard deviations above the class's mean
-(classes of under ``FEW`` rows take the language's widest class). It is a column of
+(a class of under ``FEW`` rows takes the widest limit of its language, else of all
+languages; without any class nothing is rejected). It is a column of
 its own; ``lang_pred`` is still the best language.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and is
@@ -305,7 +306,8 @@ def identified(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     limits = classes.select("lang_pred", "class", (
         F.col("mean") + SIGMAS * F.greatest("spread", F.lit(LEAST_SPREAD))).alias("limit"))
     widest = limits.groupBy("lang_pred").agg(F.max("limit").alias("widest"))
-    limit = F.coalesce("limit", "widest", F.lit(float("inf")))
+    most = limits.agg(F.max("limit")).first()[0]
+    limit = F.coalesce("limit", "widest", F.lit(float("inf") if most is None else most))
     return (rows.join(limits, ["lang_pred", "class"], "left").join(widest, "lang_pred", "left")
             .withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit))
             .drop("class", "limit", "widest"))
