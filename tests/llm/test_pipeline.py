@@ -1,0 +1,49 @@
+"""The pipeline: stage by stage against brute force, and its contract."""
+
+import re
+
+import corpus_pipeline as P
+from ledgerlens.llm import op4_mix as M
+from ledgerlens.llm import op9_langid as L
+from tests.llm.conftest import SF0001
+from tests.llm.test_decontam import slow as slow_hits
+from tests.llm.test_mix import slow_places
+from tests.llm.test_simhash import slow_classes, slow_fingerprint
+
+
+def test_run_equals_brute_force(spark, corpus):
+    docs = {r["doc_id"]: r for r in corpus.collect()}
+    rejected = {r["doc_id"] for r in L.identified(corpus).where("rejected").collect()}
+    left = {i: r["text"] for i, r in docs.items() if i not in rejected}
+    first = {}
+    for i in sorted(left):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", left[i] or ""), i)
+    left = {i: left[i] for i in first.values()}
+    fps = {i: slow_fingerprint(t) for i, t in left.items()}
+    root, stay = slow_classes(set(fps.values())), {}
+    for i in sorted(left):
+        stay.setdefault(root[fps[i]], i)
+    left = {i: left[i] for i in stay.values()}
+    items = [tuple(r) for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect()]
+    left = [i for i, _, hit, *_ in slow_hits(left.items(), items) if not hit]
+    want = slow_places([(i, docs[i]["source"]) for i in left], M.WEIGHTS, M.OTHER_WEIGHT, M.BLOCK)
+    out = P.run(spark, SF0001).collect()
+    assert {r["doc_id"]: r["place"] for r in out} == want
+    assert all(r[c] == docs[r["doc_id"]][c] for r in out for c in ("text", "lang", "n_chars"))
+
+
+def test_contract(spark, corpus):
+    assert [n for n, _ in P.STAGES] == ["language_id", "exact_dedup", "near_dedup",
+                                       "decontaminate", "mix"]
+    docs = corpus.limit(60)
+    for _, stage in P.STAGES[:-1]:
+        assert stage(spark, docs, SF0001).columns == corpus.columns
+
+
+def test_entry_registers_every_query():
+    import __spark_entry__ as E
+
+    names = E.queries()
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in names) == 1
+    assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
