@@ -37,7 +37,7 @@ def partner_id(raw: str = "partner_raw") -> Column:
     Under ANSI mode a value that is not an integer fails the run, as in the
     source system.
     """
-    return F.regexp_replace(F.col(raw), ",", "").cast("long")
+    return F.replace(F.col(raw), F.lit(","), F.lit("")).cast("long")
 
 
 def with_partner_id(sales: DataFrame) -> DataFrame:

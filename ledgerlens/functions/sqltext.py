@@ -23,7 +23,7 @@ def _status(s: str) -> str:
     return f"item_status = {lit(s)}"
 
 
-# the commission the platform keeps on a line (see columns.ticket_commission)
+# the commission the platform keeps on a line: its own, or a canceled line's fee
 IS_COMMISSION_LINE = (f"item_status IN ({lit(S.STATUS_VALIDATED)}, "
                       f"{lit(S.STATUS_CANCELED)})")
 TICKET_COMMISSION = (f"CASE WHEN {_status(S.STATUS_VALIDATED)} THEN commission "

@@ -22,7 +22,7 @@ from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.plans.invoice import invoice_summary
 from ledgerlens.plans.partner import partner_summary
 from ledgerlens.plans.settlement import settlement_summary
-from ledgerlens.session import apply_unset, cluster_conf, ensure_checkpoint_dir
+from ledgerlens.session import SCALE_CONF, apply_unset, cluster_conf, ensure_checkpoint_dir
 from ledgerlens.sinks.export import export_cells
 from ledgerlens.sinks.runlog import append_run_log, run_log_row
 from ledgerlens.sinks.snapshot import snapshot, snapshot_name
@@ -54,14 +54,16 @@ def run(spark: SparkSession, tables: Tables, report: str = DEFAULT_REPORT,
     try:
         result = REPORTS[report](tables, run_filter).checkpoint(eager=True)
         rows = result.count()
-        snapshot(result, f"{out}/snapshots", report, run_date)
+        snapshot(result, f"{out}/snapshots", report, run_date, rows)
         try:
-            export_cells(result, f"{out}/exports/{table_name}", legacy_strings)
-        except Exception:  # an export failure does not fail the run
+            exported = export_cells(result, f"{out}/exports/{table_name}", legacy_strings, rows)
+        except Exception:  # an export failure does not fail the run, but is on record
             log.exception("export of %s failed", table_name)
-        row = run_log_row(spark, "success", report, rows, table_name, out, run_date)
+            exported = False
+        row = run_log_row(spark, "success", report, rows, table_name, out, run_date, exported)
     except Exception:
-        append_run_log(run_log_row(spark, "error", report, 0, table_name, out, run_date), out)
+        append_run_log(
+            run_log_row(spark, "error", report, 0, table_name, out, run_date, False), out)
         raise
     append_run_log(row, out)
     return row
@@ -80,8 +82,9 @@ def main(argv: list[str] | None = None) -> None:
                    help="compressed size of the sales history; sizes shuffles and scans")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()
-    if a.sales_bytes:
-        apply_unset(spark, cluster_conf(a.sales_bytes))
+    # always: without them a bad partner id would become a NULL partner on a
+    # cluster with ANSI off; the size only adds the sizing
+    apply_unset(spark, cluster_conf(a.sales_bytes) if a.sales_bytes else SCALE_CONF)
     row = run(spark, Tables.from_parquet(spark, a.tables), a.report,
               RunFilter(a.partner_id, a.contract_code), a.run_date, a.out, a.legacy_strings)
     print(row.first().asDict())

@@ -13,9 +13,10 @@ which is exact in DECIMAL arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens import schemas as S
 from ledgerlens.functions import sqltext as sql
 from ledgerlens.functions.columns import AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM
 from ledgerlens.operators.taxes import attach_rates
@@ -41,10 +42,6 @@ def rate_plans(by_plan: DataFrame, rates: DataFrame) -> DataFrame:
     return attach_rates(by_plan, rates, "CAST(plan_id AS STRING)")
 
 
-def _rated_by_plan(base: DataFrame, keys: list[str], rates: DataFrame) -> DataFrame:
-    return rate_plans(commission_by_plan(base, keys), rates)
-
-
 def commission_totals(rated: DataFrame, keys: list[str]) -> DataFrame:
     return rated.groupBy(*keys).agg(
         sql.col(sql.sum_as("m", AMOUNT_SUM), "commission"),
@@ -56,10 +53,41 @@ def commission_by_invoice(base: DataFrame, rates: DataFrame) -> DataFrame:
     """A4: (session, invoice id as text, period, input date, link) -> commission, tax."""
     keyed = base.withColumn("invoice_id", F.col("invoice_id").cast("string"))
     keys = list(INVOICE_KEYS)
-    return commission_totals(_rated_by_plan(keyed, keys, rates), keys)
+    return commission_totals(rate_plans(commission_by_plan(keyed, keys), rates), keys)
+
+
+# -- partner view: one aggregate of the lines serves A5, A10 and the report ---------
+
+def partner_pairs(base: DataFrame, rates: DataFrame) -> DataFrame:
+    """(session, partner) -> ``lines`` with a commission, ``commission`` and its tax,
+    and ``own``: the collected amount of the lines that are not canceled (purchased
+    and unknown ones count 0). ``base`` has ``partner_id``."""
+    own = (f"CASE WHEN NOT (item_status <=> {sql.lit(S.STATUS_CANCELED)}) THEN "
+           f"CASE WHEN item_status != {sql.lit(S.STATUS_PURCHASED)} THEN collected_amount "
+           f"ELSE 0 END END")
+    grain = base.groupBy("partner_id", "session_id", "plan_id").agg(
+        sql.col(f"count(CASE WHEN {sql.IS_COMMISSION_LINE} THEN 1 END)", "lines"),
+        sql.col(sql.sum_as(f"CASE WHEN {sql.IS_COMMISSION_LINE} THEN {sql.TICKET_COMMISSION} END",
+                           PARTIAL_MONEY), "m"),
+        sql.col(sql.sum_as(own, AMOUNT_SUM), "own"))
+    return rate_plans(grain, rates).groupBy("session_id", "partner_id").agg(
+        F.sum("lines").alias("lines"),
+        sql.col(sql.sum_as("m", AMOUNT_SUM), "commission"),
+        sql.col(sql.sum_as("m * tax_rate", TAX_SUM), "commission_tax"),
+        sql.col(sql.sum_as("own", AMOUNT_SUM), "own"))
+
+
+PARTNER_TOTALS = {"lines": "bigint", "commission": AMOUNT_SUM, "commission_tax": TAX_SUM,
+                  "own": AMOUNT_SUM}
+
+
+def partner_totals(pairs: DataFrame, *more: Column) -> DataFrame:
+    """partner -> the sums of :func:`partner_pairs`, and ``more`` aggregates."""
+    return pairs.groupBy("partner_id").agg(
+        *[sql.col(sql.sum_as(c, t), c) for c, t in PARTNER_TOTALS.items()], *more)
 
 
 def partner_commission(base: DataFrame, rates: DataFrame) -> DataFrame:
-    """A5: partner -> ticketing commission and its tax. ``base`` has ``partner_id``."""
-    rated = _rated_by_plan(base, ["partner_id", "session_id"], rates)
-    return commission_totals(rated, ["partner_id"])
+    """A5: partner -> ticketing commission and its tax, of partners with any."""
+    totals = partner_totals(partner_pairs(base, rates))
+    return totals.where("lines > 0").select("partner_id", "commission", "commission_tax")

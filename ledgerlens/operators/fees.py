@@ -16,12 +16,12 @@ marketing, tax FALSE   not taxed          not taxed           taxed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions import sqltext as sql
-from ledgerlens.functions.columns import AMOUNT_SUM, TAX_SUM, sum_as
+from ledgerlens.functions.columns import AMOUNT_SUM, TAX_SUM
 from ledgerlens.operators.taxes import attach_rates
 
 
@@ -82,32 +82,6 @@ def settlement_session_fees(fees: DataFrame, session_ids: DataFrame | None,
 # session each partner receives k times the session's fees. ``pairs`` carries k,
 # so the repetition is one multiplication instead of a k*k fan-out.
 
-def session_partners(base: DataFrame) -> DataFrame:
-    """Distinct (session, partner) pairs with ``k`` = partners in the session
-    (a NULL partner counts as one). Small: one row per pair. ``base`` may be
-    the sales lines or any aggregate of them keyed by session and partner."""
-    pairs = base.select("session_id", "partner_id").distinct()
-    k = pairs.groupBy("session_id").agg(F.count(F.lit(1)).cast("int").alias("k"))
-    return pairs.join(k, "session_id")
-
-
-def _to_partners(per_session: DataFrame, pairs: DataFrame, measures: list[str]) -> DataFrame:
-    joined = per_session.join(pairs, "session_id")
-    return joined.groupBy("partner_id").agg(*[
-        sum_as(F.col(m) * F.col("k"), TAX_SUM if m.endswith("_tax") else AMOUNT_SUM).alias(m)
-        for m in measures
-    ])
-
-
-def partner_marketing_fees(fees: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A6: partner -> ``invoice_marketing_fees`` (invoice amount, by fee type)."""
-    sessions_ = pairs.select("session_id").distinct()
-    per_session = _session_fees(fees, sessions_).groupBy("session_id").agg(
-        F.coalesce(sum_as(F.when(F.col("fee_type") == S.FEE_MARKETING, F.col("fee_invoice")),
-                          AMOUNT_SUM), F.lit(0)).cast(AMOUNT_SUM).alias("invoice_marketing_fees"))
-    return _to_partners(per_session, pairs, ["invoice_marketing_fees"])
-
-
 PARTNER_FEE_BUCKETS = (
     # fee type, column prefix, taxable
     (S.FEE_MARKETING, "marketing", True),
@@ -116,35 +90,20 @@ PARTNER_FEE_BUCKETS = (
     (S.FEE_RECONCILIATION, "reconciliation", True),
     (S.FEE_OTHER, "other", True),
 )
-
-
-def partner_settlement_fees(fees: DataFrame, pairs: DataFrame, rates: DataFrame) -> DataFrame:
-    """A7: partner -> settlement fee and its tax for each of the five fee types.
-    Tax only when apply_tax is TRUE (NULL is not taxed); cash advance never.
-    Fee types outside the five are not counted."""
-    sessions_ = pairs.select("session_id").distinct()
-    f = attach_rates(_session_fees(fees, sessions_), rates, "fee_description")
-    fee, ftype = F.col("fee_settlement"), F.col("fee_type")
-    taxed = F.col("apply_tax") == F.lit(True)
-    aggs: list[Column] = []
-    measures: list[str] = []
-    for type_, prefix, taxable in PARTNER_FEE_BUCKETS:
-        aggs.append(sum_as(F.when(ftype == type_, fee).otherwise(F.lit(0)), AMOUNT_SUM)
-                    .alias(f"{prefix}_fees"))
-        tax = (F.when((ftype == type_) & taxed, fee * F.col("tax_rate")).otherwise(F.lit(0))
-               if taxable else F.lit(0))
-        aggs.append(sum_as(tax, TAX_SUM).alias(f"{prefix}_tax"))
-        measures += [f"{prefix}_fees", f"{prefix}_tax"]
-    per_session = f.groupBy("session_id").agg(*aggs)
-    return _to_partners(per_session, pairs, measures)
+SETTLEMENT_FEE_MEASURES = [f"{p}_{s}" for _, p, _ in PARTNER_FEE_BUCKETS for s in ("fees", "tax")]
+PARTNER_FEE_MEASURES = ["invoice_marketing_fees", *SETTLEMENT_FEE_MEASURES]
 
 
 def partner_session_fee_totals(fees: DataFrame, rates: DataFrame) -> DataFrame:
-    """Per session: the invoice-side marketing fee (A6) and, for each of the
-    five fee types, the settlement fee and its tax (A7) — one aggregation of
-    the fee table, to be multiplied by the session's partner count."""
+    """Per session: the invoice-side marketing fee (A6) and, for each of the five
+    fee types, the settlement fee and its tax (A7); types outside the five are not
+    counted, tax only when apply_tax is TRUE (NULL is not taxed), cash advances
+    never. One aggregation of the fee table, to be multiplied by the session's
+    partner count."""
     f = attach_rates(fees, rates, "fee_description")
-    aggs = [sql.col(f"CAST(coalesce({sql.sum_as(f'CASE WHEN fee_type = {sql.lit(S.FEE_MARKETING)} THEN fee_invoice END', AMOUNT_SUM)}, 0) AS {AMOUNT_SUM})", "invoice_marketing_fees")]
+    marketing = sql.sum_as(
+        f"CASE WHEN fee_type = {sql.lit(S.FEE_MARKETING)} THEN fee_invoice END", AMOUNT_SUM)
+    aggs = [sql.col(f"CAST(coalesce({marketing}, 0) AS {AMOUNT_SUM})", "invoice_marketing_fees")]
     for type_, prefix, taxable in PARTNER_FEE_BUCKETS:
         is_type = f"fee_type = {sql.lit(type_)}"
         aggs.append(sql.col(sql.sum_as(f"CASE WHEN {is_type} THEN fee_settlement ELSE 0 END",
@@ -155,5 +114,32 @@ def partner_session_fee_totals(fees: DataFrame, rates: DataFrame) -> DataFrame:
     return f.groupBy("session_id").agg(*aggs)
 
 
-PARTNER_FEE_MEASURES = ["invoice_marketing_fees"] + [
-    f"{p}_{s}" for _, p, _ in PARTNER_FEE_BUCKETS for s in ("fees", "tax")]
+def attributed(measures: list[str]) -> list[Column]:
+    """Per partner: the sums of session fees times ``k``, the session's partners."""
+    return [sql.col(sql.sum_as(f"{m} * k", TAX_SUM if m.endswith("_tax") else AMOUNT_SUM), m)
+            for m in measures]
+
+
+def with_partner_count(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (one row per session and partner, a NULL partner included) with
+    ``k``. The window is bounded by the partners of one session."""
+    return pairs.withColumn("k", F.count(F.lit(1)).over(
+        Window.partitionBy("session_id")).cast("int"))
+
+
+def _partner_fees(fees: DataFrame, pairs: DataFrame, rates: DataFrame,
+                  measures: list[str]) -> DataFrame:
+    sold = pairs.select("session_id", "partner_id").distinct()
+    joined = with_partner_count(sold).join(partner_session_fee_totals(fees, rates), "session_id")
+    return joined.groupBy("partner_id").agg(*attributed(measures))
+
+
+def partner_marketing_fees(fees: DataFrame, pairs: DataFrame, rates: DataFrame) -> DataFrame:
+    """A6: partner -> ``invoice_marketing_fees`` (invoice amount, by fee type).
+    ``pairs`` has session_id and partner_id: the sales lines or any aggregate."""
+    return _partner_fees(fees, pairs, rates, ["invoice_marketing_fees"])
+
+
+def partner_settlement_fees(fees: DataFrame, pairs: DataFrame, rates: DataFrame) -> DataFrame:
+    """A7: partner -> settlement fee and its tax for each of the five fee types."""
+    return _partner_fees(fees, pairs, rates, SETTLEMENT_FEE_MEASURES)

@@ -6,19 +6,12 @@ item has no amount at all). The settlement report also joins every line to all
 lines with the same (item, status), so a group of n such lines counts each of
 its measures n times and receives the group's consolidated sum.
 
-Both are computed with aggregations instead of windows over raw keys or
-self-joins:
-
-* ``item_stats``: item -> reversal amounts plus per-status count and sums for
-  the three known statuses, by one groupBy with conditional aggregates — a
-  map-side partial aggregation, so an item holding a third of all rows is
-  collapsed before the shuffle (a window would put it in one task);
-* lines with a status outside the known three (rare) take a side path keyed by
-  (item, status);
-* lines meet the per-item statistics in one equi-join on the item, with a
-  shuffle on both sides so that AQE can split a hot item's partition; lines
-  with a NULL item or status match nothing and skip the join, so NULL keys
-  never pile up in one task.
+Both are computed from aggregates instead of windows over raw keys or
+self-joins. The settlement lines are summed once per (settlement group, item,
+status), a map-side partial aggregation in which a hot item collapses; windows
+over those rows give each item its reversal amounts and each (item, status) its
+count and sums, and one more aggregation gives the settlement groups: one scan
+of the history. The partner report does the same per (partner, item).
 """
 
 from __future__ import annotations
@@ -47,20 +40,22 @@ def _reversal_agg(col: str) -> F.Column:
     return F.coalesce(-F.max(col), F.lit(0))
 
 
+# tasks over which lines without an item are spread in the item join
+NULL_ITEM_SALTS = 256
+
+
 def consolidated_items(base: DataFrame) -> DataFrame:
-    """A9: every line with its consolidated gross and collected amounts."""
-    has_item = F.col("item_id").isNotNull()
-    hist = item_history(base.where(has_item))
+    """A9: every line with its consolidated gross and collected amounts.
+
+    One left join on (item, salt): the salt is 0 but for NULL items, which match
+    nothing and are only spread by it. The history is shuffled again on that pair,
+    so both sides come from a shuffle and AQE can split a hot item's lines."""
+    hist = item_history(base.where(F.col("item_id").isNotNull())).withColumn("_salt", F.lit(0))
     canceled = F.col("item_status") == S.STATUS_CANCELED
-    # NULL items match no history; they skip the join (no NULL-key partition).
-    # Both sides join on ~item_id so both are shuffled and AQE can split a hot
-    # item (see settlement_lines).
-    hist = hist.withColumn("_join_item", F.expr("~item_id")).drop("item_id")
-    joined = (base.where(has_item).withColumn("_join_item", F.expr("~item_id"))
-              .join(hist, "_join_item").drop("_join_item")).unionByName(
-        base.where(~has_item).select(
-            "*", F.lit(None).cast("decimal(12,2)").alias("hist_gross"),
-            F.lit(None).cast("decimal(18,4)").alias("hist_collected")))
+    salt = F.when(F.col("item_id").isNotNull(), 0).otherwise(
+        F.pmod(F.xxhash64("session_id", "invoice_id", "gross_amount", "collected_amount"),
+               F.lit(NULL_ITEM_SALTS)).cast("int"))
+    joined = base.withColumn("_salt", salt).join(hist, ["item_id", "_salt"], "left")
     return joined.select(
         "item_id", "item_status", "session_id", "invoice_id",
         F.when(canceled, F.col("hist_gross")).otherwise(F.col("gross_amount"))
@@ -70,125 +65,74 @@ def consolidated_items(base: DataFrame) -> DataFrame:
     )
 
 
-KNOWN_STATUSES = (S.STATUS_VALIDATED, S.STATUS_CANCELED, S.STATUS_PURCHASED)
-UNCANCELED = (S.STATUS_VALIDATED, S.STATUS_PURCHASED)
-
-
-def _status_tag(status: str) -> str:
-    return {S.STATUS_VALIDATED: "v", S.STATUS_CANCELED: "c", S.STATUS_PURCHASED: "p"}[status]
-
-
-def item_stats(base: DataFrame) -> DataFrame:
-    """item -> reversal amounts plus, for each known status s, the count ``n_s``
-    and (except for canceled lines, which take the reversal) the sums ``g_s`` /
-    ``c_s`` of its lines' gross and collected amounts.
-
-    One groupBy on the item with conditional aggregates: a partial aggregation
-    (a hot item collapses map-side), output hash-partitioned by item — which is
-    exactly the partitioning the join back to the lines needs."""
-    aggs = ["coalesce(-max(gross_amount), 0) AS hist_gross",
-            "coalesce(-max(collected_amount), 0) AS hist_collected"]
-    for status in KNOWN_STATUSES:
-        tag, hit = _status_tag(status), f"item_status = {sql.lit(status)}"
-        aggs.append(f"CAST(count(CASE WHEN {hit} THEN 1 END) AS INT) AS n_{tag}")
-        if status != S.STATUS_CANCELED:
-            aggs += [f"sum(CASE WHEN {hit} THEN gross_amount END) AS g_{tag}",
-                     f"sum(CASE WHEN {hit} THEN collected_amount END) AS c_{tag}"]
-    return (base.where(F.col("item_id").isNotNull()).groupBy("item_id")
-            .agg(*[F.expr(a) for a in aggs]))
-
-
-def _pick(prefix: str, statuses=KNOWN_STATUSES) -> str:
-    """The per-status column of the line's own (known) status."""
-    whens = " ".join(f"WHEN item_status = {sql.lit(s)} THEN {prefix}_{_status_tag(s)}"
-                     for s in statuses)
-    return f"CASE {whens} END"
-
-
 def settlement_lines(base: DataFrame) -> DataFrame:
     """A12: settlement group -> gross, collected, executed / cancelled / advance
     commission with tax, with the (item, status) self-join multiplicities.
 
-    Lines with a known status join the per-item statistics on the item; lines
-    with any other status join their own (item, status) statistics (a small
-    side path: such statuses are rare); lines with a NULL item or status match
-    nothing and skip the joins, so NULL keys never pile up in one partition."""
+    A line with an item and a status meets all N lines of its (item, status): it
+    counts N times and brings their consolidated sum, which for canceled lines is N
+    reversals of the item. So n such lines of a settlement group bring n times that
+    sum and N times their commission. A line without item or status meets nothing:
+    it counts once and brings no amount. NULL items are spread over the windows'
+    tasks by session."""
     keys = list(SETTLEMENT_KEYS)
-    cols = [*keys, "item_id", "item_status", "commission_w_tax"]
-    st = F.col("item_status")
-    has_item = F.col("item_id").isNotNull()
-    known = st.isin(*KNOWN_STATUSES)
-    # The statistics leave their aggregation already partitioned by their key,
-    # so a join on it would read them without a shuffle of their own — and AQE
-    # splits a skewed join partition only when both sides come from a shuffle.
-    # Both sides therefore join on ~item_id (bitwise NOT: a bijection, so the
-    # same matches), which gives each its own shuffle and lets AQE split a hot
-    # item's lines across tasks.
-    stats = item_stats(base).withColumn("_j", F.expr("~item_id")).drop("item_id")
+    lines = base.groupBy(*keys, "item_id", "item_status").agg(
+        F.expr("CAST(count(1) AS INT) AS n"),
+        *[F.expr(f"{f}({c}) AS {f}_{t}") for c, t in (("gross_amount", "gross"),
+                                                     ("collected_amount", "collected"))
+          for f in ("sum", "max")],
+        F.expr("sum(commission_w_tax) AS commission"))
+    item = "item_id, CASE WHEN item_id IS NULL THEN session_id END"
+    lines = lines.selectExpr(
+        *keys, "item_id", "item_status", "n", "commission",
+        *[f"coalesce(-max(max_{t}) OVER (PARTITION BY {item}), 0) AS back_{t}"
+          for t in ("gross", "collected")],
+        f"CAST(sum(n) OVER (PARTITION BY {item}, item_status) AS INT) AS all_n",
+        *[f"sum(sum_{t}) OVER (PARTITION BY {item}, item_status) AS all_{t}"
+          for t in ("gross", "collected")])
     canceled = f"item_status = {sql.lit(S.STATUS_CANCELED)}"
-    with_known = (base.where(has_item & known).select(*cols)
-                  .withColumn("_j", F.expr("~item_id")).join(stats, "_j")
-                  .selectExpr(*cols, f"{_pick('n')} AS n",
-                              f"CAST(CASE WHEN {canceled} THEN n_c * hist_gross "
-                              f"ELSE {_pick('g', UNCANCELED)} END AS decimal(23,2)) AS cg",
-                              f"CAST(CASE WHEN {canceled} THEN n_c * hist_collected "
-                              f"ELSE {_pick('c', UNCANCELED)} END AS decimal(29,4)) AS cc"))
-    other_lines = base.where(has_item & st.isNotNull() & ~known)
-    other_stats = (other_lines.groupBy("item_id", "item_status")
-                   .agg(F.expr("CAST(count(1) AS INT) AS n"),
-                        F.expr("CAST(sum(gross_amount) AS decimal(23,2)) AS cg"),
-                        F.expr("CAST(sum(collected_amount) AS decimal(29,4)) AS cc"))
-                   .withColumn("_j", F.expr("~item_id")).drop("item_id"))
-    with_other = (other_lines.select(*cols).withColumn("_j", F.expr("~item_id"))
-                  .join(other_stats, ["_j", "item_status"]).select(*cols, "n", "cg", "cc"))
-    # a NULL item or status counts once and brings no consolidated amount
-    loose = base.where(~has_item | st.isNull()).selectExpr(
-        *cols, "1 AS n", "CAST(NULL AS decimal(23,2)) AS cg", "CAST(NULL AS decimal(29,4)) AS cc")
-    per_line = with_known.unionByName(with_other).unionByName(loose)
-
-    def by_status(status: str, alias: str) -> F.Column:
-        return sql.col(sql.sum_as(
-            f"CASE WHEN item_status = {sql.lit(status)} THEN n * commission_w_tax ELSE 0 END",
-            TAXED_AMOUNT_SUM), alias)
-
-    return per_line.groupBy(*keys).agg(
-        sql.col(sql.sum_as("cg", AMOUNT_SUM), "gross_revenue"),
-        sql.col(sql.sum_as("cc", AMOUNT_SUM), "collected_revenue"),
-        by_status(S.STATUS_VALIDATED, "executed_commission_w_tax"),
-        by_status(S.STATUS_CANCELED, "cancelled_commission_w_tax"),
-        by_status(S.STATUS_PURCHASED, "advance_commission_w_tax"),
-    )
+    met = "item_id IS NOT NULL AND item_status IS NOT NULL"
+
+    def amount(t: str) -> F.Column:
+        whole = (f"CASE WHEN {canceled} THEN CAST(all_n * back_{t} AS {AMOUNT_SUM}) "
+                 f"ELSE CAST(all_{t} AS {AMOUNT_SUM}) END")
+        return sql.col(sql.sum_as(f"CASE WHEN {met} THEN n * {whole} END", AMOUNT_SUM),
+                       f"{t}_revenue")
 
+    def commission(status: str, alias: str) -> F.Column:
+        times = f"CASE WHEN {met} THEN all_n ELSE 1 END"
+        return sql.col(sql.sum_as(
+            f"CASE WHEN item_status = {sql.lit(status)} THEN {times} * commission ELSE 0 END",
+            TAXED_AMOUNT_SUM), f"{alias}_commission_w_tax")
 
-def own_revenue(base: DataFrame, keys=("partner_id",)) -> DataFrame:
-    """Collected amount of the lines that are not canceled: every status but
-    ``purchased`` counts (a NULL status counts 0). ``keys`` -> ``v``."""
-    st = F.col("item_status")
-    return (base.where(~st.eqNullSafe(S.STATUS_CANCELED))
-            .groupBy(*keys)
-            .agg(F.sum(F.when(st != S.STATUS_PURCHASED, F.col("collected_amount"))
-                       .otherwise(F.lit(0))).cast(AMOUNT_SUM).alias("v")))
+    return lines.groupBy(*keys).agg(
+        amount("gross"), amount("collected"), commission(S.STATUS_VALIDATED, "executed"),
+        commission(S.STATUS_CANCELED, "cancelled"), commission(S.STATUS_PURCHASED, "advance"))
 
 
 def canceled_reversals(base: DataFrame) -> DataFrame:
     """partner -> sum of the reversal amounts of its canceled lines (``v``).
 
-    Canceled lines are first counted per (partner, item), so the item join works
-    on one row per pair instead of one per line; a NULL item finds no history."""
-    hist = item_history(base.where(F.col("item_id").isNotNull())).select(
-        "item_id", "hist_collected")
-    return (base.where(F.col("item_status").eqNullSafe(S.STATUS_CANCELED))
-            .groupBy("partner_id", "item_id").agg(F.count(F.lit(1)).cast("int").alias("c"))
-            .join(hist, "item_id", "left")
-            .groupBy("partner_id")
-            .agg(F.sum(F.col("c") * F.col("hist_collected")).cast(AMOUNT_SUM).alias("v")))
-
-
-def partner_revenue(base: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    One aggregation per (partner, item) gives the largest collected amount and the
+    number of canceled lines; a window over those rows gives the item's maximum. A
+    NULL item finds no history and is spread by partner."""
+    canceled = f"item_status = {sql.lit(S.STATUS_CANCELED)}"
+    per_item = base.groupBy("partner_id", "item_id").agg(
+        F.expr("max(collected_amount) AS most"),
+        F.expr(f"CAST(count(CASE WHEN {canceled} THEN 1 END) AS INT) AS c"))
+    item = "item_id, CASE WHEN item_id IS NULL THEN partner_id END"
+    back = per_item.selectExpr(
+        "partner_id", "c", f"CASE WHEN item_id IS NOT NULL THEN coalesce("
+                           f"-max(most) OVER (PARTITION BY {item}), 0) END AS back")
+    return (back.where("c > 0").groupBy("partner_id")
+            .agg(sql.col(sql.sum_as("c * back", AMOUNT_SUM), "v")))
+
+
+def partner_revenue(own: DataFrame, reversals: DataFrame) -> DataFrame:
     """A10: partner -> collected revenue of every line that is not ``purchased``
-    (NULL status counts 0), canceled lines at their item's reversal amount.
-    ``own`` may pass :func:`own_revenue` already computed from another grain."""
-    own = own if own is not None else own_revenue(base)
-    return (own.select("partner_id", "v").unionByName(canceled_reversals(base))
+    (NULL status counts 0), canceled lines at their item's reversal amount, from
+    the partners' ``own`` revenue (:func:`commission.partner_totals`; NULL for a
+    partner with canceled lines only) and their :func:`canceled_reversals`."""
+    return (own.selectExpr("partner_id", "own AS v").unionByName(reversals)
             .groupBy("partner_id")
             .agg(sum_as("v", AMOUNT_SUM).alias("revenue_collected")))

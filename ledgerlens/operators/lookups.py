@@ -1,16 +1,17 @@
 """Key lookups over the sales history and the accounts table.
 
-Single-key lookups return a DataFrame of at most one row (the list lookup: at
-most ``CONTRACT_LIST_CAP``). "Latest" means greatest ``period_to`` with NULL
+Single-key lookups return a DataFrame of at most one row (the list lookup: all
+contracts, or the first ``limit`` for a caller that asks). "Latest" means greatest ``period_to`` with NULL
 dates last; ties, left open by the source system, are broken deterministically
 by the returned value, greatest first. ``orderBy(...).limit(n)`` plans as a
 TakeOrderedAndProject: every task keeps its own top n, nothing is sorted globally.
 
-The bulk forms answer the lookup for every key at once with a grouped
-``max(struct(period_to, value))`` — a partial aggregation, so a key holding a
-third of all rows costs no more than any other (a row_number window would
-send it to one task). Struct ordering puts NULL fields first, which is exactly
-"NULL dates last" for a max.
+The bulk forms answer the lookup for every key at once: first the latest date
+per (key, value), a hash aggregation with a fixed-width buffer that collapses
+the history map-side (a key holding a third of all rows costs no more than any
+other), then ``max(struct(period_to, value))`` per key over those few pairs.
+Struct ordering puts NULL fields first, which is exactly "NULL dates last" for
+a max.
 """
 
 from __future__ import annotations
@@ -20,9 +21,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import with_partner_id
 
-# Fixed value: the list lookup returns at most this many contracts.
-CONTRACT_LIST_CAP = 5000
-
 
 def _latest(df: DataFrame, value: str) -> DataFrame:
     return (df.select(value, "period_to")
@@ -43,13 +41,14 @@ def contract_for_partner(sales: DataFrame, partner_id: int) -> DataFrame:
                               & F.col("contract_code").isNotNull()), "contract_code")
 
 
-def contracts_of_partner(sales: DataFrame, partner_id: int) -> DataFrame:
-    """L3: distinct non-NULL contracts of a partner, ascending, capped."""
+def contracts_of_partner(sales: DataFrame, partner_id: int,
+                         limit: int | None = None) -> DataFrame:
+    """L3: distinct non-NULL contracts of a partner, ascending."""
     base = with_partner_id(sales)
-    return (base.where((F.col("partner_id") == F.lit(int(partner_id)))
-                       & F.col("contract_code").isNotNull())
-            .select("contract_code").distinct()
-            .orderBy("contract_code").limit(CONTRACT_LIST_CAP))
+    found = (base.where((F.col("partner_id") == F.lit(int(partner_id)))
+                        & F.col("contract_code").isNotNull())
+             .select("contract_code").distinct().orderBy("contract_code"))
+    return found if limit is None else found.limit(limit)
 
 
 def account_name(accounts: DataFrame, partner_id: int) -> DataFrame:
@@ -61,8 +60,8 @@ def account_name(accounts: DataFrame, partner_id: int) -> DataFrame:
 
 def _latest_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     return (df.where(F.col(key).isNotNull())
-            .groupBy(key)
-            .agg(F.max(F.struct("period_to", value)).alias("_top"))
+            .groupBy(key, value).agg(F.max("period_to").alias("period_to"))
+            .groupBy(key).agg(F.max(F.struct("period_to", value)).alias("_top"))
             .select(key, F.col(f"_top.{value}").alias(value)))
 
 

@@ -15,15 +15,14 @@ TOTAL row; zero rows when the filter matches nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens import schemas as S
 from ledgerlens.functions import sqltext as sql
-from ledgerlens.functions.columns import AMOUNT_SUM, PARTIAL_MONEY, TAX_SUM, with_partner_id
-from ledgerlens.operators.commission import rate_plans
-from ledgerlens.operators.fees import (PARTNER_FEE_BUCKETS, PARTNER_FEE_MEASURES,
-                                       partner_session_fee_totals)
+from ledgerlens.functions.columns import with_partner_id
+from ledgerlens.operators.commission import partner_pairs, partner_totals
+from ledgerlens.operators.fees import (PARTNER_FEE_BUCKETS, PARTNER_FEE_MEASURES, attributed,
+                                       partner_session_fee_totals, with_partner_count)
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.operators.items import canceled_reversals
 from ledgerlens.operators.taxes import tax_rates
@@ -33,46 +32,19 @@ COLUMNS = ["partner_id", "gross_collected", "commission", "marketing_fees", "tot
            "partner_payment"]
 
 
-def partner_grain(base: DataFrame) -> DataFrame:
-    """(partner, session, plan) -> commission ``m`` of validated/canceled lines
-    and ``own`` collected revenue of the lines that are not canceled.
-
-    One partial aggregation of the sales lines serves the commission, its tax,
-    the revenue and the (session, partner) pairs of the report."""
-    own = (f"CASE WHEN NOT (item_status <=> {sql.lit(S.STATUS_CANCELED)}) THEN "
-           f"CASE WHEN item_status != {sql.lit(S.STATUS_PURCHASED)} THEN collected_amount "
-           f"ELSE 0 END END")
-    return base.groupBy("partner_id", "session_id", "plan_id").agg(
-        sql.col(sql.sum_as(f"CASE WHEN {sql.IS_COMMISSION_LINE} THEN {sql.TICKET_COMMISSION} END",
-                           PARTIAL_MONEY), "m"),
-        sql.col(sql.sum_as(own, AMOUNT_SUM), "own"))
-
-
 def partner_summary(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
-    """One linear chain over a single aggregate of the sales lines (plus the
-    item history for reversals):
+    """The registered partner operators in one chain over the sales lines:
 
-    lines -> (partner, session, plan) grain -> tax rate per plan
-          -> (session, partner) totals, k = partners of the session (a window
-             over that small table, bounded by the partners of one session)
-          -> + session fee totals x k -> per partner -> + reversals.
+    lines -> (session, partner) totals, k = partners of the session
+          -> + session fee totals x k -> per partner -> + reversals (the second
+    pass over the lines).
     """
     base = with_partner_id(run_filter.apply(t.sales))
     rates = tax_rates(t.taxes)
-    per_pair = (rate_plans(partner_grain(base), rates)
-                .groupBy("session_id", "partner_id")
-                .agg(F.sum("m").cast(AMOUNT_SUM).alias("commission"),
-                     F.sum(F.col("m") * F.col("tax_rate")).cast(TAX_SUM).alias("commission_tax"),
-                     F.sum("own").cast(AMOUNT_SUM).alias("own"))
-                .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("session_id"))))
+    pairs = with_partner_count(partner_pairs(base, rates))
     fees = partner_session_fee_totals(t.fees, rates)
-    attributed = per_pair.join(fees, "session_id", "left")
-    per_partner = attributed.groupBy("partner_id").agg(
-        sql.col(sql.sum_as("commission", AMOUNT_SUM), "commission"),
-        sql.col(sql.sum_as("commission_tax", TAX_SUM), "commission_tax"),
-        sql.col(sql.sum_as("own", AMOUNT_SUM), "own"),
-        *[sql.col(sql.sum_as(f"{m} * k", TAX_SUM if m.endswith("_tax") else AMOUNT_SUM), m)
-          for m in PARTNER_FEE_MEASURES])
+    per_partner = partner_totals(pairs.join(fees, "session_id", "left"),
+                                 *attributed(PARTNER_FEE_MEASURES))
     reversals = canceled_reversals(base).withColumnRenamed("v", "reversed")
     joined = per_partner.join(reversals, "partner_id", "left")
 

@@ -1,6 +1,6 @@
 """R3 — settlement summary: one row per settlement group plus a TOTAL row.
 
-Columns: settlement_link, input_date, period_from, period_to, gross_revenue,
+Columns: settlement_link, input_date, settlement_from, settlement_to, gross_revenue,
 collected_revenue, executed_commission_w_tax, cancelled_commission_w_tax,
 advance_commission_w_tax, marketing_fees_w_tax, cash_advance_w_tax,
 other_fees_w_tax, partner_settlement.
@@ -24,7 +24,7 @@ from ledgerlens.sources.catalog import Tables
 MEASURES = ["gross_revenue", "collected_revenue", "executed_commission_w_tax",
             "cancelled_commission_w_tax", "advance_commission_w_tax", "marketing_fees_w_tax",
             "cash_advance_w_tax", "other_fees_w_tax", "partner_settlement"]
-COLUMNS = ["settlement_link", "input_date", "period_from", "period_to"] + MEASURES
+COLUMNS = ["settlement_link", "input_date", "settlement_from", "settlement_to"] + MEASURES
 
 
 def settlement_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
@@ -40,7 +40,8 @@ def settlement_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame
                          "advance_commission_w_tax", mkt, cash, other)
     dec = "decimal(34,10)"
     return fin.selectExpr(
-        "settlement_link", "input_date", "period_from", "period_to",
+        "settlement_link", "input_date", "period_from AS settlement_from",
+        "period_to AS settlement_to",
         *[f"CAST({c} AS {dec}) AS {c}" for c in
           ("gross_revenue", "collected_revenue", "executed_commission_w_tax",
            "cancelled_commission_w_tax", "advance_commission_w_tax")],

@@ -12,7 +12,8 @@ TOTAL_LABEL = "TOTAL"
 def with_total(detail: DataFrame, label_col: str, measures: list[str]) -> DataFrame:
     """Prepend a TOTAL row (label in ``label_col``, NULL in every other
     non-measure column, SUM of each measure) and order by input date, newest
-    first with NULL dates first; TOTAL always leads.
+    first with NULL dates first; TOTAL always leads. The other non-measure columns
+    break ties, so the range sort can split the rows of one input date.
 
     The TOTAL is a global aggregate, so it returns one row even for an empty
     detail (all sums NULL) — unlike a rollup, which returns none.
@@ -29,5 +30,6 @@ def with_total(detail: DataFrame, label_col: str, measures: list[str]) -> DataFr
          else f"CAST(NULL AS {types[f.name]}) AS `{f.name}`")
         for f in fields], "1 AS _is_total")
     both = total.unionByName(detail.selectExpr("*", "0 AS _is_total"))
-    return both.orderBy(F.col("_is_total").desc(),
-                        F.col("input_date").desc_nulls_first()).drop("_is_total")
+    ties = [f.name for f in fields if f.name not in (*measures, "input_date")]
+    return both.orderBy(F.col("_is_total").desc(), F.col("input_date").desc_nulls_first(),
+                        *ties).drop("_is_total")

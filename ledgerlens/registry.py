@@ -111,13 +111,12 @@ def _partner_commission(t: Tables) -> DataFrame:
 
 @query("partner_marketing_fees")
 def _partner_marketing_fees(t: Tables) -> DataFrame:
-    return FE.partner_marketing_fees(t.fees, FE.session_partners(with_partner_id(t.sales)))
+    return FE.partner_marketing_fees(t.fees, with_partner_id(t.sales), _rates(t))
 
 
 @query("partner_settlement_fees")
 def _partner_settlement_fees(t: Tables) -> DataFrame:
-    return FE.partner_settlement_fees(t.fees, FE.session_partners(with_partner_id(t.sales)),
-                                      _rates(t))
+    return FE.partner_settlement_fees(t.fees, with_partner_id(t.sales), _rates(t))
 
 
 @query("settlement_session_fees")
@@ -139,7 +138,9 @@ def _consolidated_items(t: Tables) -> DataFrame:
 
 @query("partner_revenue")
 def _partner_revenue(t: Tables) -> DataFrame:
-    return I.partner_revenue(with_partner_id(t.sales))
+    base = with_partner_id(t.sales)
+    own = C.partner_totals(C.partner_pairs(base, _rates(t)))
+    return I.partner_revenue(own, I.canceled_reversals(base))
 
 
 @query("settlement_lines")
@@ -159,6 +160,12 @@ def _invoice_summary_by_partner(t: Tables) -> DataFrame:
     return invoice_summary(t, RunFilter(partner_id=PARTNER))
 
 
+@query("invoice_summary_partner_over_contract")
+def _invoice_summary_partner_over_contract(t: Tables) -> DataFrame:
+    """Both filters given: the partner wins, the contract is ignored (F3)."""
+    return invoice_summary(t, RunFilter(partner_id=PARTNER, contract_code=CONTRACT))
+
+
 @query("invoice_summary_by_contract")
 def _invoice_summary_by_contract(t: Tables) -> DataFrame:
     return invoice_summary(t, RunFilter(contract_code=CONTRACT))
@@ -241,6 +248,18 @@ def _invoice_report_cells(t: Tables) -> DataFrame:
     return report_cells(invoice_summary(t), legacy_strings=True)
 
 
+@query("export_roundtrip", doubles=False)
+def _export_roundtrip(t: Tables) -> DataFrame:
+    """Export the partner summary as a CSV folder and read it back (K2)."""
+    from ledgerlens.session import scratch_dir
+    from ledgerlens.sinks.export import export_cells, read_cells
+
+    spark = t.sales.sparkSession
+    report, path = partner_summary(t), f"{scratch_dir(spark, 'exports')}/partner_summary"
+    export_cells(report, path)
+    return read_cells(spark, path, report.columns)
+
+
 @query("snapshot_roundtrip")
 def _snapshot_roundtrip(t: Tables) -> DataFrame:
     """Snapshot the partner summary to a dated folder and read it back."""
@@ -262,4 +281,4 @@ def _run_log(t: Tables) -> DataFrame:
 
     spark = t.sales.sparkSession
     row = run(spark, t, "partner_summary", run_date=RUN_DATE, out=scratch_dir(spark, "job"))
-    return row.select("status", "report", "rows_returned", "table_name", "run_date")
+    return row.select("status", "report", "rows_returned", "table_name", "run_date", "exported")

@@ -29,6 +29,9 @@ SCALE_CONF = {
 # Target size of one shuffle partition after AQE coalescing, and of one scan split.
 ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
 SCAN_SPLIT_BYTES = 512 * 1024 * 1024
+# The driver tracks map tasks x reducers: beyond these counts sizes grow instead
+# (at 100 TiB: 2.1 GB a split and a reducer, 50,000 x 30,000 blocks at most).
+MOST_MAP_TASKS, MOST_REDUCERS = 50_000, 30_000
 # Largest shuffle of a report relative to the compressed sales history it reads:
 # the settlement lines (9 of 17 columns) meeting the item statistics.
 FACT_SHUFFLE_RATIO = 0.6
@@ -42,12 +45,14 @@ def cluster_conf(sales_bytes: int) -> dict[str, str]:
     initial partition count is sized for the largest, fact-sized shuffle; the
     small shuffles (taxes, fees, aggregated rows) are coalesced at run time."""
     biggest = max(1, int(sales_bytes * FACT_SHUFFLE_RATIO))
-    partitions = max(200, -(-biggest // ADVISORY_PARTITION_BYTES))
+    advisory = max(ADVISORY_PARTITION_BYTES, -(-biggest // MOST_REDUCERS))
+    partitions = max(200, -(-biggest // advisory))
     return {
         **SCALE_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.files.maxPartitionBytes": str(
+            max(SCAN_SPLIT_BYTES, -(-sales_bytes // MOST_MAP_TASKS))),
     }
 
 
@@ -74,8 +79,6 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.default.parallelism", str(cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    # local runs only: stands in for the shared folder a cluster names here
-    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -87,20 +90,24 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests, the bench) is
-    a folder of our own created and recorded in the session conf.
+    Read from the session. Where it is unset, a local master (tests, the bench)
+    gets a folder of its own, recorded in the session conf; any other master
+    raises, since its executors would each write to their own disk.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir())
     if not root:
-        root = sc.getCheckpointDir() or _LOCAL_FALLBACK.get("root")
-    if not root:
-        root = _LOCAL_FALLBACK.setdefault("root", tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
-_LOCAL_FALLBACK: dict[str, str] = {}
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``)."""
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -3,20 +3,29 @@
 The source system overwrote a spreadsheet tab; here the grid is a CSV folder,
 fully overwritten. An empty report writes nothing (the previous export stays).
 Rows keep the report's order: the writer emits the sorted partitions in order,
-so no single-task coalesce is needed.
+so no single-task coalesce is needed. The folder is one dataset of part files,
+each with the header, as Spark's CSV reader (``header=true``) expects it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.functions.cells import report_cells
 
 
-def export_cells(df: DataFrame, path: str, legacy_strings: bool = False) -> bool:
-    """Write ``df`` as formatted text cells; return False when nothing was written."""
-    if df.isEmpty():
+def export_cells(df: DataFrame, path: str, legacy_strings: bool = False,
+                 rows: int | None = None) -> bool:
+    """Write ``df`` as formatted text cells; return False when nothing was written.
+    ``rows`` spares the emptiness check a caller who has counted."""
+    if df.isEmpty() if rows is None else not rows:
         return False
     (report_cells(df, legacy_strings).write.mode("overwrite")
      .option("header", True).option("emptyValue", "").csv(path))
     return True
+
+
+def read_cells(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """An export read back: text cells, empty ones as empty text."""
+    cells = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).csv(path, header=True)
+    return cells.fillna("")

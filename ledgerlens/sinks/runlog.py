@@ -14,16 +14,18 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("output_root", T.StringType()),
     T.StructField("run_date", T.DateType()),
+    T.StructField("exported", T.BooleanType()),
     T.StructField("logged_at", T.TimestampType()),
 ])
 
 
 def run_log_row(spark: SparkSession, status: str, report: str, rows: int, table_name: str,
-                output_root: str, run_date: dt.date,
+                output_root: str, run_date: dt.date, exported: bool,
                 logged_at: dt.datetime | None = None) -> DataFrame:
     logged_at = logged_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return spark.createDataFrame(
-        [(status, report, rows, table_name, output_root, run_date, logged_at)], RUN_LOG_SCHEMA)
+        [(status, report, rows, table_name, output_root, run_date, exported, logged_at)],
+        RUN_LOG_SCHEMA)
 
 
 def append_run_log(row: DataFrame, root: str) -> None:

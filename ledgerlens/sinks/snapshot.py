@@ -16,9 +16,11 @@ def snapshot_name(report: str, run_date: dt.date) -> str:
     return f"{report}_{run_date:%Y%m%d}"
 
 
-def snapshot(df: DataFrame, root: str, report: str, run_date: dt.date) -> str | None:
-    """Overwrite the dated snapshot; return its path, or None when ``df`` is empty."""
-    if df.isEmpty():
+def snapshot(df: DataFrame, root: str, report: str, run_date: dt.date,
+             rows: int | None = None) -> str | None:
+    """Overwrite the dated snapshot; return its path, or None when ``df`` is empty.
+    ``rows`` spares the emptiness check a caller who has counted."""
+    if df.isEmpty() if rows is None else not rows:
         return None
     path = f"{root.rstrip('/')}/{snapshot_name(report, run_date)}"
     df.write.mode("overwrite").parquet(path)

@@ -5,21 +5,60 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerlens import schemas as S
 from ledgerlens.sources import fixtures
 
 TABLE_NAMES = ("sales_lines", "taxes", "fees", "accounts")
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def checked(name: str, df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema`` in its types; other columns stay.
+
+    Raises when a column is missing or can't be held exactly: the report sums are
+    sized for the declared types, and a wider money column would be rounded
+    without a sign. Narrower decimals and integers are widened."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    wrong, casts = [], {}
+    for field in schema.fields:
+        have, want = types.get(field.name), field.dataType
+        if have == want:
+            continue
+        if isinstance(want, T.DecimalType):
+            fits = isinstance(have, _INTEGERS) or (
+                isinstance(have, T.DecimalType) and have.scale <= want.scale
+                and have.precision - have.scale <= want.precision - want.scale)
+        else:
+            fits = isinstance(want, T.LongType) and isinstance(have, _INTEGERS)
+        if fits:
+            casts[field.name] = F.col(field.name).cast(want)
+        else:
+            wrong.append(f"{field.name}: expected {want.simpleString()}, found "
+                         f"{have.simpleString() if have else 'no such column'}")
+    if wrong:
+        raise ValueError(f"table {name}: " + "; ".join(wrong))
+    return df.withColumns(casts) if casts else df
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Lazy DataFrames for sales lines, taxes, fees and accounts."""
+    """Lazy DataFrames for sales lines, taxes, fees and accounts, checked against
+    :mod:`ledgerlens.schemas` however they were made."""
 
     sales: DataFrame
     taxes: DataFrame
     fees: DataFrame
     accounts: DataFrame
 
+    def __post_init__(self) -> None:
+        for field, name, schema in (("sales", "sales_lines", S.SALES_LINES),
+                                    ("taxes", "taxes", S.TAXES), ("fees", "fees", S.FEES),
+                                    ("accounts", "accounts", S.ACCOUNTS)):
+            object.__setattr__(self, field, checked(name, getattr(self, field), schema))
+
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Tables":
         """Derive the tables from the driver's TPC-H-style parquet on the fly."""
