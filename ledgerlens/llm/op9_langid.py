@@ -38,14 +38,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.folds import held_out
-from ledgerlens.llm.frames import documents, fresh, map_arrow, record, row_key, written
+from ledgerlens.llm.frames import documents, fresh, map_arrow, record, row_key, tasks, written
 from ledgerlens.llm.words import batches, mix
 
 ORDER = 5
 MODEL_ROWS = 4_000_000
 SIGMAS, FEW, LEAST_SPREAD = 8.0, 20, 0.1
 UNKNOWN = "und"
-_CHARS = 1 << 20
+_CHARS = 1 << 21
+_KNOWN = 1 << 20  # grams whose probabilities a task remembers
 _SPACE = 32
 _fold: list[np.ndarray] = []
 
@@ -81,15 +82,36 @@ def reduced(texts: list[str | None]):
     return out, at, n
 
 
+#: odd multipliers of a gram's last, last but one, ... character
+_MULTIPLIERS = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64)) for k in range(ORDER)]
+
+
 def gram_hashes(cps: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """Hashes of the grams of 0 to ORDER characters that end at each place."""
-    out, h = [np.full(len(at), 7, np.uint64)], np.full(len(at), 7, np.uint64)
+    h = np.zeros(len(at), np.uint64)
+    out = [mix(h)]
     for k in range(ORDER):
-        h = mix(h * np.uint64(0x100000001B3) + cps[at - k].astype(np.uint64) + np.uint64(1))
-        out.append(h)
+        h = h + (cps[at - k].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[k]
+        out.append(mix(h))
     return out
 
 
+def distinct_grams(cps: np.ndarray, at: np.ndarray, salt: np.ndarray | None = None):
+    """The distinct ORDER-grams (each with its ``salt``) that end at the places: their
+    hashes, the index in ``at`` of one place of each, and each place's number among
+    them."""
+    chars = cps.astype(np.uint64) + np.uint64(1)
+    h = np.zeros(len(chars) - ORDER + 1, np.uint64)
+    for k in range(ORDER):
+        h += chars[ORDER - 1 - k:len(chars) - k] * _MULTIPLIERS[k]
+    h = mix(h[at - ORDER + 1])
+    coded = pa.array((h if salt is None else mix(h + salt)).view(np.int64)).dictionary_encode()
+    number = coded.indices.to_numpy()
+    one = np.empty(len(coded.dictionary), np.int64)
+    one[number[::-1]] = np.arange(len(at))[::-1]
+    return h[one], one, number
+
+
 def _grams(batch: pa.RecordBatch):
     """Row numbers in lists of bounded size, with what ``reduced`` gives for them."""
     texts = batch.column("text").to_pylist()
@@ -106,21 +128,41 @@ def _strings(cps: np.ndarray, at: np.ndarray) -> list[str]:
 
 
 def gram_counts(docs: DataFrame, group: str) -> DataFrame:
-    """(group, gram, n): ORDER-grams counted per value of the string column ``group``."""
-    def run(batch: pa.RecordBatch):
-        values = batch.column(group)
-        coded = values.dictionary_encode()
+    """(group, gram, n): ORDER-grams counted per value of the string column ``group``.
+    A task sums its batches before it hands them on, up to ``_KNOWN`` grams at a time."""
+    def counted(batch: pa.RecordBatch):
+        coded = batch.column(group).dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         for rows, cps, at, n in _grams(batch):
-            own = np.repeat(codes[np.array(rows, int)], n).astype(np.uint64)
-            _, first, seen = np.unique(mix(gram_hashes(cps, at)[ORDER] + own * np.uint64(
-                0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [coded.dictionary.take(pa.array(own[first].astype(np.int64))),
-                 pa.array(_strings(cps, at[first]), pa.string()), pa.array(seen)],
-                names=[group, "gram", "n"])
-
-    counts = map_arrow(docs.select(group, "text"), run, f"{group} string, gram string, n long")
+            if len(at):
+                own = np.repeat(codes[np.array(rows, int)], n).astype(np.uint64)
+                _, one, number = distinct_grams(cps, at, own * np.uint64(0x9E3779B97F4A7C15))
+                yield pa.table({
+                    group: coded.dictionary.take(pa.array(own[one].astype(np.int64))),
+                    "gram": pa.array(_strings(cps, at[one]), pa.string()),
+                    "n": np.bincount(number)})
+
+    def run(it):
+        held, size = [], 0
+
+        def summed():
+            table = pa.concat_tables(held).group_by([group, "gram"]).aggregate([("n", "sum")])
+            return table.rename_columns({"n_sum": "n"}).select([group, "gram", "n"])
+
+        for batch in it:
+            for part in counted(batch):
+                held.append(part)
+                size += len(part)
+                if size > _KNOWN:
+                    held = [summed()]
+                    size = len(held[0])
+                    if size > _KNOWN // 2:
+                        yield from held[0].to_batches(max_chunksize=100_000)
+                        held, size = [], 0
+        if held:
+            yield from summed().to_batches(max_chunksize=100_000)
+
+    counts = tasks(docs.select(group, "text"), run, f"{group} string, gram string, n long")
     return counts.groupBy(group, "gram").agg(F.sum("n").alias("n"))
 
 
@@ -155,11 +197,10 @@ def _hash_of(batch: pa.RecordBatch):
     for k in np.unique(lengths):
         own = np.flatnonzero(lengths == k)
         cps = np.frombuffer("".join(grams[i] for i in own).encode("utf-32-le"), np.uint32)
-        h = np.full(len(own), 7, np.uint64)
+        h = np.zeros(len(own), np.uint64)
         for j in range(k):
-            h = mix(h * np.uint64(0x100000001B3)
-                    + cps[k - 1 - j::k].astype(np.uint64) + np.uint64(1))
-        out[own] = h
+            h += (cps[k - 1 - j::k].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[j]
+        out[own] = mix(h)
     yield record(lang=batch.column("lang"), k=batch.column("k"), part=batch.column("part"),
                  h=pa.array(out.view(np.int64)), value=batch.column("value"))
 
@@ -196,14 +237,30 @@ class Models:
             p = self._look(k, 0, here[k]) + self._look(k, 1, before[k - 1]) * p
         return np.log(p)
 
+    def remembered(self, h: np.ndarray, cps: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """``log_p`` at the places of distinct grams with the hashes ``h``; what earlier
+        batches have computed is looked up."""
+        if not hasattr(self, "known") or len(self.known[0]) > _KNOWN:
+            self.known = h[:0], np.empty((0, len(self.langs)), np.float32)
+        keys, values = self.known
+        found, old = np.searchsorted(keys, h), np.zeros(len(h), bool)
+        if len(keys):
+            old = keys[np.minimum(found, len(keys) - 1)] == h
+        out = np.empty((len(h), len(self.langs)), np.float32)
+        out[old] = values[found[old]]
+        out[~old] = self.log_p(cps, at[~old])
+        new = np.flatnonzero(~old)[np.argsort(h[~old])]
+        where = np.searchsorted(keys, h[new])
+        self.known = np.insert(keys, where, h[new]), np.insert(values, where, out[new], axis=0)
+        return out
+
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Characters of each text and its cross-entropy in each language."""
         cps, at, n = reduced(texts)
         out = np.zeros((len(texts), len(self.langs)))
         if len(at):
-            _, first, kind = np.unique(gram_hashes(cps, at)[ORDER], return_index=True,
-                                       return_inverse=True)
-            log_p = self.log_p(cps, at[first]).astype(np.float32)
+            h, one, kind = distinct_grams(cps, at)
+            log_p = self.remembered(h, cps, at[one])
             some = n > 0
             starts = (np.cumsum(n) - n)[some]
             for j in range(len(self.langs)):
