@@ -12,8 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import scratch_dir
+from ledgerlens.session import apply_unset, scratch_dir
 
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+           "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
@@ -52,12 +54,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, once per application."""
+    """Hand this package to the Python workers, once per application, and bound the
+    batches they get (unless set at launch): texts may be long."""
     sc = spark.sparkContext
     if not getattr(sc, "_llm_shipped", False):
         package = Path(__file__).resolve().parents[1]
         sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip",
                                          package.parent, package.name))
+        apply_unset(spark, BATCHES)
         sc._llm_shipped = True
 
 

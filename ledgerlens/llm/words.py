@@ -16,8 +16,8 @@ U64 = np.uint64
 NONE = U64(0xFFFFFFFFFFFFFFFF)
 # odd multipliers of the two polynomial hashes (bytes of a word, words of a window)
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-BATCH_BYTES = 2 << 20
-_BLOCK = 1 << 18  # words hashed at a time
+BATCH_BYTES = 1 << 20
+_BLOCK = 1 << 15  # words hashed at a time: their arrays fit a core's cache
 
 
 def separators(*ranges: tuple[int, int]) -> np.ndarray:
@@ -52,7 +52,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 1 << 16)
+            size = max(n, 1 << 18)
             with np.errstate(over="ignore"):
                 for name, factor in (("up", self.base), ("down", self.inverse)):
                     steps = np.full(size, factor, U64)
