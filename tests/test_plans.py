@@ -10,6 +10,7 @@ from conftest import SF0001
 
 from ledgerlens.operators import lookups as L
 from ledgerlens.operators.filters import RunFilter
+from ledgerlens.operators.items import consolidated_items, settlement_lines
 from ledgerlens.plans.invoice import invoice_summary
 from ledgerlens.plans.partner import partner_summary
 from ledgerlens.plans.settlement import settlement_summary
@@ -47,19 +48,31 @@ def test_no_python_and_no_cartesian(tables, name):
         assert bad not in plan, bad
 
 
-@pytest.mark.parametrize("name", sorted(REPORTS))
-def test_fact_is_aggregated_before_it_is_shuffled(tables, name):
-    """Every exchange fed directly by a sales-line scan sits above a partial
-    aggregation (map-side combine) — never the raw lines."""
-    plan = final_plan(REPORTS[name](tables))
-    assert "partial_" in plan or "HashAggregate(keys" in plan
-    # no Exchange whose next operator down is a plain Project/Filter over the fact scan
-    blocks = plan.split("Exchange hashpartitioning")[1:]
-    for b in blocks:
-        head = "\n".join(b.splitlines()[1:4])
-        if "sales_lines" in "\n".join(b.splitlines()[1:8]) and "HashAggregate" not in head:
-            # a join input shuffle of the settlement lines is the one allowed case
-            assert name == "settlement", head
+def sales_scans(plan: str) -> int:
+    return sum("Scan parquet" in line and "sales_lines" in line for line in plan.splitlines())
+
+
+def operators_above_scan(plan: str) -> list[str]:
+    """Names of the operators from the (only) sales scan upwards."""
+    names = [re.search(r"[A-Z]\w+", line) for line in plan.splitlines()]
+    lines = [(n.group(), line) for n, line in zip(names, plan.splitlines()) if n]
+    at = next(i for i, (_, line) in enumerate(lines) if "Scan parquet" in line)
+    return [n for n, _ in reversed(lines[:at])]
+
+
+@pytest.mark.parametrize("build,scans", [
+    (lambda t: settlement_lines(t.sales), 1), (partner_summary, 2),
+    (lambda t: consolidated_items(t.sales), 2)])
+def test_scans_of_the_fact(tables, build, scans):
+    assert sales_scans(final_plan(build(tables))) == scans
+
+
+def test_settlement_lines_shuffle_aggregates_only(tables):
+    plan = final_plan(settlement_lines(tables.sales))
+    assert "SortAggregate" not in plan and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning") == 4  # lines, item, (item, status), groups
+    first = [n for n in operators_above_scan(plan) if n in ("HashAggregate", "Exchange")]
+    assert first[:2] == ["HashAggregate", "Exchange"]
 
 
 def test_contract_filter_reaches_parquet(tables):
@@ -78,9 +91,11 @@ def test_column_pruning_on_the_fact(tables):
         assert "gross_amount" not in schema and "settlement_link" not in schema
 
 
-def test_bulk_lookup_is_an_aggregate_not_a_window(tables):
+def test_bulk_lookup_hashes_the_fact_first(tables):
     plan = final_plan(L.latest_partner_by_contract(tables.sales))
-    assert "Window" not in plan and "partial_max" in plan
+    assert "Window" not in plan
+    above = [n for n in operators_above_scan(plan) if n.endswith("Aggregate") or n == "Sort"]
+    assert above[:2] == ["HashAggregate", "HashAggregate"]
 
 
 def test_single_lookup_is_a_top_k_not_a_sort(tables):

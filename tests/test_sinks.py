@@ -16,7 +16,7 @@ from ledgerlens.functions.cells import report_cells
 from ledgerlens.job import run
 from ledgerlens.operators.filters import RunFilter
 from ledgerlens.session import scratch_dir
-from ledgerlens.sinks.export import export_cells
+from ledgerlens.sinks.export import export_cells, read_cells
 from ledgerlens.sinks.snapshot import snapshot, snapshot_name
 
 
@@ -71,7 +71,39 @@ def test_job_writes_snapshot_export_and_log(spark):
     text = "".join(open(p).read() for p in sorted(csv))
     assert text.splitlines()[0].startswith("invoice_id,input_date,")
     assert "TOTAL" in text
-    assert spark.read.parquet(f"{out}/run_log").count() == 1
+    log = spark.read.parquet(f"{out}/run_log").collect()
+    assert len(log) == 1 and log[0].exported is True
+    read = read_cells(spark, f"{out}/exports/invoice_summary_20240501", snap.columns)
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, report_cells(snap).collect()))
+
+
+def test_a_failed_export_is_on_record(spark, monkeypatch):
+    from ledgerlens import job
+
+    def broken(*args):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(job, "export_cells", broken)
+    t = make_tables(spark, sales=[sale()])
+    row = run(spark, t, "invoice_summary", run_date=dt.date(2024, 5, 1),
+              out=scratch_dir(spark, "job-no-export")).first()
+    assert (row.status, row.exported) == ("success", False)
+
+
+def test_session_settings_apply_without_a_size(spark, monkeypatch):
+    from ledgerlens import job
+    from ledgerlens.session import SCALE_CONF
+
+    applied = []
+    monkeypatch.setattr(job, "apply_unset", lambda s, conf: applied.append(conf))
+    root = scratch_dir(spark, "bad-partner")
+    make_tables(spark, sales=[sale(partner_raw="12x")]).sales.write.parquet(f"{root}/sales_lines")
+    rest = make_tables(spark)
+    for name in ("taxes", "fees", "accounts"):
+        getattr(rest, name).write.parquet(f"{root}/{name}")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        job.main(["--tables", root, "--out", scratch_dir(spark, "bad-partner-out")])
+    assert applied == [SCALE_CONF] and SCALE_CONF["spark.sql.ansi.enabled"] == "true"
 
 
 def test_job_with_empty_partner_report_logs_zero_rows(spark):
