@@ -47,15 +47,19 @@ NULL_ITEM_SALTS = 256
 def consolidated_items(base: DataFrame) -> DataFrame:
     """A9: every line with its consolidated gross and collected amounts.
 
-    One left join on (item, salt): the salt is 0 but for NULL items, which match
-    nothing and are only spread by it. The history is shuffled again on that pair,
-    so both sides come from a shuffle and AQE can split a hot item's lines."""
-    hist = item_history(base.where(F.col("item_id").isNotNull())).withColumn("_salt", F.lit(0))
+    One left join on (item, salt): the salt is a hash of the item, and of other
+    columns for NULL items, which match nothing and are only spread by it. The
+    history is shuffled again on that pair, so both sides come from a shuffle and
+    AQE can split a hot item's lines."""
+    def salt(*cols: str) -> F.Column:
+        return F.pmod(F.xxhash64(*cols), F.lit(NULL_ITEM_SALTS)).cast("int")
+
+    hist = item_history(base.where(F.col("item_id").isNotNull())).withColumn(
+        "_salt", salt("item_id"))
     canceled = F.col("item_status") == S.STATUS_CANCELED
-    salt = F.when(F.col("item_id").isNotNull(), 0).otherwise(
-        F.pmod(F.xxhash64("session_id", "invoice_id", "gross_amount", "collected_amount"),
-               F.lit(NULL_ITEM_SALTS)).cast("int"))
-    joined = base.withColumn("_salt", salt).join(hist, ["item_id", "_salt"], "left")
+    salted = F.when(F.col("item_id").isNotNull(), salt("item_id")).otherwise(
+        salt("session_id", "invoice_id", "gross_amount", "collected_amount"))
+    joined = base.withColumn("_salt", salted).join(hist, ["item_id", "_salt"], "left")
     return joined.select(
         "item_id", "item_status", "session_id", "invoice_id",
         F.when(canceled, F.col("hist_gross")).otherwise(F.col("gross_amount"))

@@ -70,7 +70,7 @@ def test_scans_of_the_fact(tables, build, scans):
 def test_settlement_lines_shuffle_aggregates_only(tables):
     plan = final_plan(settlement_lines(tables.sales))
     assert "SortAggregate" not in plan and "Join" not in plan
-    assert plan.count("Exchange hashpartitioning") == 4  # lines, item, (item, status), groups
+    assert plan.count("Exchange hashpartitioning") == 3  # lines, items, groups
     first = [n for n in operators_above_scan(plan) if n in ("HashAggregate", "Exchange")]
     assert first[:2] == ["HashAggregate", "Exchange"]
 
