@@ -91,14 +91,13 @@ def dedup(docs: DataFrame) -> DataFrame:
     index = DigestIndex(spark, scratch_dir(spark, "digest-index"),
                         docs.schema["doc_id"].dataType.simpleString())
     rows = written(decide(docs, index), "digest-decisions")
-    key, keep, n = fresh(docs, "_digest", "_keep", "_rows")
+    key, same_key, keep, n = fresh(docs, "_digest", "_digest_kept", "_keep", "_rows")
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     keepers = rows.where(same).groupBy("digest", "keep_id").agg(F.count(F.lit(1)).alias("n"))
-    keepers = keepers.select(F.col("digest").alias(key), F.col("keep_id").alias(keep),
+    keepers = keepers.select(F.col("digest").alias(same_key), F.col("keep_id").alias(keep),
                              F.col("n").alias(n))
-    keyed = docs.withColumn(key, digest(F.col("text")))
-    here = keepers.withColumnRenamed(key, "_d")
-    out = keyed.join(here, (keyed[key] == here["_d"]) & keyed["doc_id"].eqNullSafe(here[keep]))
+    out = docs.withColumn(key, digest(F.col("text"))).join(
+        keepers, (F.col(key) == F.col(same_key)) & F.col("doc_id").eqNullSafe(F.col(keep)))
     if not keepers.where(F.col(n) > 1).isEmpty():  # rows that repeat id and text
         once = F.row_number().over(Window.partitionBy(key, "doc_id").orderBy(F.lit(1)))
         rank, = fresh(out, "_rank")

@@ -65,7 +65,8 @@ def mix(docs: DataFrame, weights: dict[str, int], other: int = 1, block: int = B
     sort by it) and balanced."""
     spark = docs.sparkSession
     results = ["pool", "block_no", "release", "deadline", "slot", "place", "balanced"]
-    md5, bucket, before, rank = fresh(docs, "_md5", "_bucket", "_before", "_rank")
+    md5, bucket, before, rank, entry_no, entry_slot, share = fresh(
+        docs, "_md5", "_bucket", "_before", "_rank", "_entry", "_slot", "_share")
     kept = [c for c in docs.columns if c.lower() not in results]
     own = [c for c in kept if c != "source"]
     named = F.when(F.col("source").isin(list(weights)), F.col("source")).otherwise(OTHER)
@@ -90,22 +91,24 @@ def mix(docs: DataFrame, weights: dict[str, int], other: int = 1, block: int = B
     number = F.col(rank) + F.col(before)
 
     q = sum(shares.values())
-    entries = [(p, j, slot, shares[p]) for p, j, slot in period(shares)] if shares else []
-    entry = {(p, j): slot for p, j, slot, _ in entries}
+    entries = period(shares) if shares else []
+    entry = {(p, j): slot for p, j, slot in entries}
     ends = [(-(-n // block) // shares[p]) * q + entry[p, -(-n // block) % shares[p]]
             for p, n in sizes.items()]
-    table = spark.createDataFrame(entries, "pool string, _j long, _slot long, _w long")
-    q = F.lit(q).cast("long")
+    placed = spark.createDataFrame(entries, f"pool string, {entry_no} long, {entry_slot} long")
+    weighted = spark.createDataFrame(sorted(shares.items()), f"pool string, {share} long")
     out = (numbered.join(starts, ["pool", bucket]).withColumn("place", number)
-           .withColumn("block_no", F.floor(F.col("place") / block)))
-    weights_of = spark.createDataFrame(sorted(shares.items()), "pool string, _w long")
-    out = out.join(F.broadcast(weights_of), "pool").withColumn("_j", F.col("block_no") % F.col("_w"))
-    out = out.join(F.broadcast(table.drop("_w")), ["pool", "_j"])
-    slot = F.expr("(block_no div _w)") * q + F.col("_slot")
-    release = F.expr("block_no div _w") * q + F.floor(F.col("_j") * q / F.col("_w"))
-    deadline = F.expr("block_no div _w") * q + F.ceil((F.col("_j") + 1) * q / F.col("_w"))
+           .withColumn("block_no", F.floor(F.col("place") / block))
+           .join(F.broadcast(weighted), "pool")
+           .withColumn(entry_no, F.col("block_no") % F.col(share))
+           .join(F.broadcast(placed), ["pool", entry_no]))
+    q = F.lit(q).cast("long")
+    ahead = F.expr(f"block_no div {share}") * q
+    slot = ahead + F.col(entry_slot)
     return out.select(
-        *kept, "pool", "block_no", release.alias("release"), deadline.alias("deadline"),
+        *kept, "pool", "block_no",
+        (ahead + F.floor(F.col(entry_no) * q / F.col(share))).alias("release"),
+        (ahead + F.ceil((F.col(entry_no) + 1) * q / F.col(share))).alias("deadline"),
         slot.alias("slot"), (slot * block + F.col("place") % block).alias("place"),
         (slot < min(ends, default=0)).alias("balanced"))
 

@@ -37,7 +37,8 @@ def test_small(spark):
 
 
 def test_dedup_keeps_columns_and_one_row_each(spark):
-    docs = documents(spark, ROWS).withColumn("digest", F.lit(1)).withColumn("_digest", F.lit(2))
+    docs = documents(spark, ROWS).withColumn("digest", F.lit(1)).withColumn(
+        "_digest", F.lit(2)).withColumn("_digest_kept", F.lit(3))
     out = X.dedup(docs)
     assert out.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in out.collect()) == ["1", "11", "3", "7", "9", "None"]

@@ -82,8 +82,10 @@ def test_balanced_prefix_has_the_weights(spark):
 def test_edges(spark):
     docs = documents(spark, [(1, "a", "en", None), (None, "b", "en", "a"), (2, None, "en", "a"),
                              (2, None, "en", "a"), (3, "", "en", "")])
-    docs = docs.withColumn("slot", F.lit("old")).withColumn("_md5", F.lit("x"))
+    docs = docs.withColumn("slot", F.lit("old")).withColumn("_md5", F.lit("x")).withColumn(
+        "_entry", F.lit("kept"))
     got = M.mix(docs, {"a": 3}, 1, 2)
+    assert {r["_entry"] for r in got.collect()} == {"kept"}
     assert got.count() == 5 and got.columns.count("slot") == 1 and "_md5" in got.columns
     assert len({r["place"] for r in got.collect()}) == 5
     assert {r["pool"] for r in got.collect()} == {"a", M.OTHER}
