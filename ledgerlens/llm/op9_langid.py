@@ -45,7 +45,7 @@ ORDER = 5
 MODEL_ROWS = 4_000_000
 SIGMAS, FEW, LEAST_SPREAD = 8.0, 20, 0.1
 UNKNOWN = "und"
-_CHARS = 1 << 21
+_CHARS = 1 << 20
 _KNOWN = 1 << 20  # grams whose probabilities a task remembers
 _SPACE = 32
 _fold: list[np.ndarray] = []
@@ -211,7 +211,9 @@ class Models:
 
     def __init__(self, rows: pa.Table, langs: list[str], alphabet: int):
         self.langs, self.floor, self.parts = langs, 1.0 / (alphabet + 1), {}
-        lang = np.searchsorted(np.array(langs, object), np.array(rows["lang"].to_pylist(), object))
+        coded = rows["lang"].combine_chunks().dictionary_encode()
+        place = np.array([langs.index(x) for x in coded.dictionary.to_pylist()], np.int64)
+        lang = place[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
         k, part = rows["k"].to_numpy(), rows["part"].to_numpy()
         h, value = rows["h"].to_numpy().view(np.uint64), rows["value"].to_numpy()
         for order in range(1, ORDER + 1):
