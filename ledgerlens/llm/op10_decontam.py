@@ -221,3 +221,27 @@ def clean(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document, for the whole benchmark."""
     return contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+OP10_SQL = r"""
+WITH low AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS big, 'abcdefghijklmnopqrstuvwxyz' AS small),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), big, small),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents, low),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), big, small),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark, low),
+win AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+        FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+              FROM (SELECT *, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0))),
+place AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win
+          FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+                FROM d, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n)),
+hit AS (SELECT doc_id, i, n, item_id FROM place JOIN win USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+          FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit WHERE item_id IS NOT NULL)
+          GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import op10_decontam as D
@@ -83,3 +84,12 @@ def test_empty_tables(spark):
     assert got == slow(DOCS, [])
     assert D.contamination(documents(spark, DOCS).where("false"), bench(spark, ITEMS)).count() == 0
     assert D.clean(documents(spark, DOCS), none.where("false")).count() == len(DOCS)
+
+
+def test_sql(spark):
+    con = duckdb.connect()
+    for name in "documents benchmark".split():
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF0001}/{name}.parquet'")
+    rel = con.sql(D.OP10_SQL)
+    got = D.op10_decontam(spark, SF0001).select(rel.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(rel.fetchall())
