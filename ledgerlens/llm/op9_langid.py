@@ -367,7 +367,9 @@ def identified(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     widest = limits.groupBy("lang_pred").agg(F.max("limit").alias("widest"))
     most = limits.agg(F.max("limit")).first()[0]
     limit = F.coalesce("limit", "widest", F.lit(float("inf") if most is None else most))
-    return (rows.join(limits, ["lang_pred", "class"], "left").join(widest, "lang_pred", "left")
+    # a row a language and length class (32 at most), so the documents aren't shuffled
+    return (rows.join(F.broadcast(limits), ["lang_pred", "class"], "left")
+            .join(F.broadcast(widest), "lang_pred", "left")
             .withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("entropy") > limit))
             .drop("class", "limit", "widest"))
 
