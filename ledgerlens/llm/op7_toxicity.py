@@ -4,17 +4,23 @@ Every document is cut into windows of ``WINDOW`` words. A window is compressed w
 two zstandard dictionaries, one trained on ordinary text and one on toxic text; the
 bytes that the toxic dictionary saves are the window's gain. Gains are small whole
 numbers, and what decides is a document's largest ones, so thresholds on them are
-calibrated on labelled rows.
+calibrated on labelled rows. In a window a short marker's gain drowns, so words that hold
+a piece of the toxic dictionary are also compressed by themselves, and those with a gain
+are counted. zstandard starts no match in the last bytes of its input, so all get a
+``TAIL`` that costs the same with both dictionaries.
 
 Dictionaries. The ordinary one is zstandard's trainer's (COVER) over windows of
 ordinary documents. That trainer picks what is frequent, which in a toxic document is
 ordinary text too; two such dictionaries told the classes apart poorly (area under
 the curve 0.73 on held-out rows). So the toxic one is trained by contrast: character
-5-grams whose document frequency is far above that of ordinary documents (z of at
-least ``LEAST_Z`` and a fifth of the largest z, ``RATIO`` times the frequency), joined
-to the longest pieces of toxic documents' words that consist of them. Before the
+5-grams whose weight in a document is far above that in ordinary documents (z of at
+least ``LEAST_Z`` and a fifth of the largest z; repeated occurrences weigh more), joined
+to the longest pieces of words that consist of them, of which those stay that mark toxic
+documents in the same way (the ends of ordinary words don't). How often other
+languages' ordinary text has a gram plays no part beyond z. Before the
 ordinary content the toxic dictionary has these pieces where the ordinary one has as
-many bytes that no text holds, so both code ordinary text alike.
+many bytes that no text holds, and the ordinary content's own places of these pieces are
+blanked, so both code ordinary text alike and only the toxic one codes the pieces.
 
 Learning is on at most ``LEARN_ROWS`` labelled rows of each class, taken by hash; that
 table is bounded, so it is broadcast to find the texts. All their grams are counted on
@@ -33,6 +39,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -44,11 +51,13 @@ from ledgerlens.llm.frames import documents, map_arrow, record, table, written
 
 WINDOW, GRAM, LONGEST = 16, 5, 512
 LEARN_ROWS = 20_000
-LEAST_Z, RATIO, LEAST_DOCS = 4.0, 20.0, 3
+LEAST_Z, LEAST_DOCS = 4.0, 3
 GRAMS, PIECES_BYTES, ORDINARY_BYTES = 4096, 32_000, 32_768
 SAMPLE_WINDOWS = 60_000
 THRESHOLD = 0.7
-_CAPS = {"top": 24, "three": 48, "several": 12, "windows": 12}
+TAIL = b"\1" * 24
+KNOWN = 50_000  # marked words whose gain a task remembers
+_CAPS = {"top": 24, "three": 48, "several": 12, "windows": 12, "marked": 7}
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -88,41 +97,47 @@ def learning_rows(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
 
 
-def _grams(words: set[str]) -> set[str]:
-    return {p[i:i + GRAM] for p in (f" {w} " for w in words) for i in range(len(p) - GRAM + 1)}
+def _grams(words: list[str]) -> Counter:
+    return Counter(p[i:i + GRAM] for p in (f" {w} " for w in words)
+                   for i in range(len(p) - GRAM + 1))
 
 
-def _gram_frequencies(learn: DataFrame) -> DataFrame:
-    """gram, toxic, ordinary: in how many learning documents of each class."""
+def _marks(learn: DataFrame, units) -> DataFrame:
+    """unit, docs, n, z: how many toxic learning documents have each unit (of those that
+    ``units`` counts in a list of words), its weight in them, and how far its mean weight
+    in toxic documents is above that in ordinary ones. The weight in a document is the
+    number of binary digits of its occurrences. Only units with ``LEAST_Z`` or more."""
+    sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+
     def run(batch: pa.RecordBatch):
-        found = (Counter(), Counter())
+        found: dict[str, list[int]] = {}
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            found[label == 1].update(_grams(set((text or "").lower().split())))
-        for toxic in (0, 1):
-            n = pa.array(list(found[toxic].values()), pa.int64())
-            none = pa.array(np.zeros(len(n), np.int64))
-            yield record(gram=pa.array(list(found[toxic]), pa.string()),
-                         toxic=n if toxic else none, ordinary=none if toxic else n)
-
-    counts = map_arrow(learn, run, "gram string, toxic long, ordinary long")
-    return counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"),
-                                      F.sum("ordinary").alias("ordinary"))
+            for unit, n in units((text or "").lower().split()).items():
+                w, sums = n.bit_length(), found.setdefault(unit, [0, 0, 0, 0])
+                sums[0] += label == 1
+                sums[1 if label == 1 else 2] += w
+                sums[3] += w * w
+        cols = zip(*found.values()) if found else [[]] * 4
+        yield record(unit=pa.array(list(found), pa.string()), **{
+            name: pa.array(list(col), pa.int64())
+            for name, col in zip(("docs", "n", "ordinary", "squares"), cols)})
+
+    counts = map_arrow(learn, run, "unit string, docs long, n long, ordinary long, squares long")
+    sums = counts.groupBy("unit").agg(*[F.sum(c).alias(c) for c in counts.columns[1:]])
+    if not n1 or not n0:
+        return sums.select("unit", "docs", "n", F.lit(0.0).alias("z")).where("false")
+    mean = (F.col("n") + F.col("ordinary")) / (n1 + n0)
+    spread = F.col("squares") / (n1 + n0) - mean * mean
+    z = (F.col("n") / n1 - F.col("ordinary") / n0) / F.sqrt(spread * (1 / n1 + 1 / n0) + 1e-12)
+    return sums.select("unit", "docs", "n", z.alias("z")).where(F.col("z") >= LEAST_Z)
 
 
 def toxic_grams(learn: DataFrame) -> set[str]:
     """The (at most ``GRAMS``) grams that mark toxic documents most."""
-    sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
-        return set()
-    p1, p0 = F.col("toxic") / n1, F.col("ordinary") / n0
-    p = (F.col("toxic") + F.col("ordinary")) / (n1 + n0)
-    z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    marked = (_gram_frequencies(learn).where(F.col("toxic") >= LEAST_DOCS)
-              .where(p1 >= RATIO * (F.col("ordinary") + 0.5) / n0)
-              .select("gram", z.alias("z")).where(F.col("z") >= LEAST_Z)
-              .orderBy(F.desc("z"), "gram").limit(GRAMS).collect())
-    return {r["gram"] for r in marked if r["z"] >= marked[0]["z"] / 5}
+    marked = (_marks(learn, _grams).where(F.col("docs") >= LEAST_DOCS)
+              .orderBy(F.desc("z"), "unit").limit(GRAMS).collect())
+    return {r["unit"] for r in marked if r["z"] >= marked[0]["z"] / 5}
 
 
 def pieces(word: str, grams: set[str]) -> list[str]:
@@ -144,6 +159,7 @@ class Dictionaries:
     def __init__(self, toxic: bytes, ordinary: bytes):
         filler = bytes(1 + i % 8 for i in range(len(toxic)))
         self.contents = (filler + ordinary, toxic + ordinary)
+        self.pieces = [p for p in toxic.split(b"\0") if p]
 
     @classmethod
     def train(cls, learn: DataFrame) -> "Dictionaries":
@@ -151,16 +167,12 @@ class Dictionaries:
         frequent pieces up to ``PIECES_BYTES`` and at most ``SAMPLE_WINDOWS`` windows."""
         grams = toxic_grams(learn)
 
-        def run(batch: pa.RecordBatch):
-            found = Counter(p for t in batch.column("text").to_pylist()
-                            for w in set((t or "").lower().split()) for p in pieces(w, grams))
-            yield record(piece=pa.array(list(found), pa.string()),
-                         n=pa.array(list(found.values()), pa.int64()))
+        def parts(words: list[str]) -> Counter:
+            return Counter(p for w in words for p in pieces(w, grams))
 
-        top = (map_arrow(learn.where("label = 1").select("text"), run, "piece string, n long")
-               .groupBy("piece").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "piece").limit(PIECES_BYTES // GRAM).collect())
-        toxic = b"\0".join(r["piece"].encode() for r in reversed(top))[-PIECES_BYTES:]
+        top = (_marks(learn, parts).orderBy(F.desc("n"), "unit")
+               .limit(PIECES_BYTES // GRAM).collect() if grams else [])
+        toxic = b"\0".join(r["unit"].encode() for r in reversed(top))[-PIECES_BYTES:]
 
         def cut(batch: pa.RecordBatch):
             yield record(w=pa.array([w for t in batch.column("text").to_pylist()
@@ -173,8 +185,32 @@ class Dictionaries:
             ordinary = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
         except zstandard.ZstdError:  # too little text for the trainer: the text itself
             ordinary = b"".join(samples)[-ORDINARY_BYTES:]
+        for piece in sorted((p.strip() for p in toxic.split(b"\0")), key=len, reverse=True):
+            ordinary = ordinary.replace(piece, b"\0" * len(piece)) if piece else ordinary
         return cls(toxic, ordinary)
 
+    def marked(self):
+        """A function that lists the words of a text that hold a piece, each with a space
+        before and after it, as often as they occur."""
+        automaton = ahocorasick.Automaton()
+        for piece in self.pieces:
+            automaton.add_word(piece.decode("latin-1"), len(piece))
+        if not self.pieces:
+            return lambda text: []
+        automaton.make_automaton()
+
+        def words(text: str | None) -> list[bytes]:
+            padded = f" {b' '.join((text or '').lower().encode().split()).decode('latin-1')} "
+            found = {}
+            for end, length in automaton.iter(padded):
+                start = end - length + 1
+                a = padded.rfind(" ", 0, start + 1)
+                if a not in found:
+                    found[a] = padded[a:padded.index(" ", a + 1) + 1].encode("latin-1")
+            return list(found.values())
+
+        return words
+
     def compressors(self):
         out = []
         for content in self.contents:
@@ -191,21 +227,34 @@ class Dictionaries:
 
 def gains(docs: DataFrame, pair: Dictionaries) -> DataFrame:
     """doc_id and, capped: the largest gain, the sum of the three largest, the number
-    of gains of 3 or more bytes, and the binary logarithm of the number of windows."""
+    of gains of 3 or more bytes, and the binary logarithms of the number of windows and
+    of the number of marked words with a gain."""
     shared = docs.sparkSession.sparkContext.broadcast(pair)
     made: dict = {}
 
     def run(batch: pa.RecordBatch):
         if not made:
-            made["pair"] = shared.value.compressors()
-        plain, toxic = made["pair"]
+            made.update(pair=shared.value.compressors(), marked=shared.value.marked(), known={})
+        (plain, toxic), known = made["pair"], made["known"]
+
+        def gain(w: bytes) -> int:
+            return len(plain(w + TAIL)) - len(toxic(w + TAIL))
+
         rows = []
         for text in batch.column("text").to_pylist():
-            found = sorted((len(plain(w)) - len(toxic(w)) for w in windows(text)), reverse=True)
+            found = sorted((gain(w) for w in windows(text)), reverse=True)
+            marked = 0
+            for w in made["marked"](text):
+                if w not in known:
+                    if len(known) >= KNOWN:
+                        known.clear()
+                    known[w] = gain(w) > 0
+                marked += known[w]
             rows.append((max(0, found[0]) if found else 0, sum(max(0, g) for g in found[:3]),
-                         sum(g >= 3 for g in found), len(found).bit_length()))
+                         sum(g >= 3 for g in found), len(found).bit_length(),
+                         marked.bit_length()))
         capped = [[min(v, cap) for v in col] for col, cap in
-                  zip(zip(*rows) if rows else [[]] * 4, _CAPS.values())]
+                  zip(zip(*rows) if rows else [[]] * len(_CAPS), _CAPS.values())]
         yield record(doc_id=batch.column("doc_id"),
                      **{name: pa.array(col, pa.int32()) for name, col in zip(_CAPS, capped)})
 
@@ -216,7 +265,7 @@ def gains(docs: DataFrame, pair: Dictionaries) -> DataFrame:
 
 def calibrated(rows: DataFrame, labels: DataFrame, rounds: int = 30) -> np.ndarray:
     """Weights of the logistic curve over the gains (intercept first), from all labelled
-    learning rows, as counts by gains and label (at most 300,000 rows, by the caps)."""
+    learning rows, as counts by gains and label (fewer than 3,400,000 rows, by the caps)."""
     counts = (rows.where(~held_out()).join(labels, "doc_id")
               .groupBy(*_CAPS, "label").count().toArrow())
     x = np.stack([np.ones(len(counts))] + [counts[c].to_numpy().astype(float) for c in _CAPS], 1)

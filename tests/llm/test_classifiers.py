@@ -40,6 +40,15 @@ def test_toxicity(spark, labels):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
 
 
+def test_toxicity_in_each_language(spark, labels):
+    lang = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    rows = held_out_rows(T.op7_toxicity(spark, SF), labels.join(lang, "doc_id"))
+    for name in ("de", "en", "es", "fr"):
+        assert auc([r for r in rows if r["lang"] == name], "toxic") > 0.85
+    others = [r for r in rows if r["lang"] != "en" and r["toxic"] == 1]
+    assert sum(r["predicted"] for r in others) > 0.4 * len(others)
+
+
 def test_quality(spark, labels):
     rows = held_out_rows(Q.op8_quality(spark, SF), labels)
     assert auc(rows, "quality") > 0.98
@@ -53,6 +62,13 @@ def test_pieces():
     assert T.pieces("no", grams) == []
 
 
+def test_marked_words():
+    words = T.Dictionaries(" abcd\0xyz\0é".encode(), b"").marked()
+    assert sorted(words("ABCDE q axyz\n axyz abc zabcd né")) == [
+        b" abcde ", b" axyz ", b" axyz ", " né ".encode()]
+    assert words(None) == T.Dictionaries(b"", b"").marked()("abcd") == []
+
+
 def test_windows_hold_the_whole_text():
     text = " ".join(f"w{i}" for i in range(50)) + " " + "L" * 2000 + " end"
     joined = b"".join(T.windows(text)).replace(b" ", b"")
