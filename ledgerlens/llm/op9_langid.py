@@ -12,7 +12,9 @@ contexts' lambdas, as arrays sorted by 64-bit hash with a column per language. A
 document's score in a language is its cross-entropy in nats per character; the lowest
 wins.
 
-Up to ``MODEL_ROWS`` rows the arrays are broadcast (checked before; under 100 MB).
+Up to ``MODEL_ROWS`` rows and ``MODEL_CELLS`` rows times languages the arrays are broadcast
+(checked before; at most 64 MB of values and 32 MB of hashes). Otherwise the model is
+joined, with its values and the logarithms rounded to single precision as the arrays have.
 A larger model stays a Spark table: documents' gram counts meet it in joins
 (``entropies_by_join``), with equal results.
 
@@ -43,6 +45,7 @@ from ledgerlens.llm.words import batches, mix
 
 ORDER = 5
 MODEL_ROWS = 4_000_000
+MODEL_CELLS = 16_000_000  # 4 bytes each
 SIGMAS, FEW, LEAST_SPREAD = 8.0, 20, 0.1
 UNKNOWN = "und"
 _CHARS = 1 << 20
@@ -292,15 +295,18 @@ def entropies_by_join(docs: DataFrame, model: DataFrame, langs: list[str],
     """What the broadcast arrays give, for a model of any size: name, chars and
     entropies of each distinct document (name, text), by joins of gram counts with the
     model."""
+    def single(value):
+        return (F.col(value) if isinstance(value, str) else value).cast("float").cast("double")
+
     counts = written(gram_counts(docs.dropDuplicates(["name"]), "name"), "document-grams")
     names = F.array(*[F.lit(x) for x in langs])
     p = counts.select("gram").distinct().select("gram", F.explode(names).alias("lang"),
                                                 F.lit(1.0 / (alphabet + 1)).alias("p"))
     for k in range(1, ORDER + 1):
         here = model.where(f"k = {k} AND part = 0").select(
-            "lang", F.col("gram").alias("g"), F.col("value").alias("a"))
+            "lang", F.col("gram").alias("g"), single("value").alias("a"))
         rest = model.where(f"k = {k} AND part = 1").select(
-            F.col("lang").alias("lang2"), F.col("gram").alias("c"), F.col("value").alias("b"))
+            F.col("lang").alias("lang2"), F.col("gram").alias("c"), single("value").alias("b"))
         p = (p.withColumn("g", F.substring("gram", ORDER - k + 1, k))
              .withColumn("c", F.substring("gram", ORDER - k + 1, k - 1))
              .join(here, ["lang", "g"], "left").drop("g")
@@ -308,7 +314,7 @@ def entropies_by_join(docs: DataFrame, model: DataFrame, langs: list[str],
              .select("gram", "lang", (F.coalesce("a", F.lit(0.0)) + F.coalesce("b", F.lit(1.0))
                                       * F.col("p")).alias("p")))
     per = (counts.join(p, "gram").groupBy("name", "lang")
-           .agg(F.sum("n").alias("chars"), (-F.sum(F.col("n") * F.log("p"))
+           .agg(F.sum("n").alias("chars"), (-F.sum(F.col("n") * single(F.log("p")))
                                            / F.sum("n")).alias("e")))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("lang", "e"))), lambda x: x["e"])
     return per.groupBy("name").agg(F.max("chars").alias("chars"), listed.alias("entropies"))
@@ -329,7 +335,8 @@ def scored(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     the best language), written to the shared folder."""
     model, langs, alphabet = train(docs)
     rows = docs.select("doc_id", row_key().alias("key"), "lang", "text")
-    if model.count() <= model_rows:
+    n = model.count()
+    if n <= model_rows and n * len(langs) <= MODEL_CELLS:
         hashed = map_arrow(model, _hash_of, "lang string, k int, part int, h long, value double")
         models = docs.sparkSession.sparkContext.broadcast(
             Models(hashed.toArrow(), langs, alphabet))

@@ -81,6 +81,19 @@ def test_entropies(spark, expected, model_rows):
         assert 0 <= row["score"] <= 1
 
 
+def test_both_paths_give_the_same_digits(spark, monkeypatch):
+    docs = documents(spark, TRAIN + [(100 + 3 * i, t, None) for i, t in enumerate(TEXTS)])
+    arrays = {r["doc_id"]: r for r in L.scored(docs).collect()}
+    joined, join = [], L.entropies_by_join
+    monkeypatch.setattr(L, "entropies_by_join", lambda *a: joined.append(1) or join(*a))
+    monkeypatch.setattr(L, "MODEL_CELLS", 1)
+    for r in L.scored(docs).collect():
+        for column in ("entropy", "score"):
+            want = arrays[r["doc_id"]][column]
+            assert r[column] == (want if want is None else pytest.approx(want, rel=1e-12))
+    assert joined
+
+
 def test_held_out_rows_are_told_right(spark):
     rows = L.op9_langid(spark, SF0001).join(
         spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "lang"), "doc_id")
