@@ -58,18 +58,23 @@ def commission_by_invoice(base: DataFrame, rates: DataFrame) -> DataFrame:
 
 # -- partner view: one aggregate of the lines serves A5, A10 and the report ---------
 
-def partner_pairs(base: DataFrame, rates: DataFrame) -> DataFrame:
-    """(session, partner) -> ``lines`` with a commission, ``commission`` and its tax,
+def partner_grain(base: DataFrame) -> DataFrame:
+    """(partner, session, plan) -> ``lines`` with a commission, their commission ``m``,
     and ``own``: the collected amount of the lines that are not canceled (purchased
     and unknown ones count 0). ``base`` has ``partner_id``."""
     own = (f"CASE WHEN NOT (item_status <=> {sql.lit(S.STATUS_CANCELED)}) THEN "
            f"CASE WHEN item_status != {sql.lit(S.STATUS_PURCHASED)} THEN collected_amount "
            f"ELSE 0 END END")
-    grain = base.groupBy("partner_id", "session_id", "plan_id").agg(
+    return base.groupBy("partner_id", "session_id", "plan_id").agg(
         sql.col(f"count(CASE WHEN {sql.IS_COMMISSION_LINE} THEN 1 END)", "lines"),
         sql.col(sql.sum_as(f"CASE WHEN {sql.IS_COMMISSION_LINE} THEN {sql.TICKET_COMMISSION} END",
                            PARTIAL_MONEY), "m"),
         sql.col(sql.sum_as(own, AMOUNT_SUM), "own"))
+
+
+def partner_pairs(grain: DataFrame, rates: DataFrame) -> DataFrame:
+    """(session, partner) -> the sums of :func:`partner_grain`, the commission with
+    its tax."""
     return rate_plans(grain, rates).groupBy("session_id", "partner_id").agg(
         F.sum("lines").alias("lines"),
         sql.col(sql.sum_as("m", AMOUNT_SUM), "commission"),
@@ -89,5 +94,5 @@ def partner_totals(pairs: DataFrame, *more: Column) -> DataFrame:
 
 def partner_commission(base: DataFrame, rates: DataFrame) -> DataFrame:
     """A5: partner -> ticketing commission and its tax, of partners with any."""
-    totals = partner_totals(partner_pairs(base, rates))
+    totals = partner_totals(partner_pairs(partner_grain(base), rates))
     return totals.where("lines > 0").select("partner_id", "commission", "commission_tax")

@@ -40,8 +40,7 @@ def fee_detail(fees: DataFrame, session_ids: DataFrame | None, rates: DataFrame)
     return f.selectExpr(
         "session_id", "contract_code", "fee_description", "fee_invoice", "tax_rate",
         "CASE WHEN apply_tax = false THEN 0 ELSE fee_invoice * tax_rate END AS fee_invoice_tax",
-        "CASE WHEN specific_rate IS NOT NULL THEN 'specific' "
-        "WHEN default_rate IS NOT NULL THEN 'default' ELSE 'none' END AS tax_source")
+        "tax_source")
 
 
 def session_fees_invoice(detail: DataFrame) -> DataFrame:
@@ -94,13 +93,14 @@ SETTLEMENT_FEE_MEASURES = [f"{p}_{s}" for _, p, _ in PARTNER_FEE_BUCKETS for s i
 PARTNER_FEE_MEASURES = ["invoice_marketing_fees", *SETTLEMENT_FEE_MEASURES]
 
 
-def partner_session_fee_totals(fees: DataFrame, rates: DataFrame) -> DataFrame:
+def partner_session_fee_totals(fees: DataFrame, rates: DataFrame,
+                               session_ids: DataFrame | None = None) -> DataFrame:
     """Per session: the invoice-side marketing fee (A6) and, for each of the five
     fee types, the settlement fee and its tax (A7); types outside the five are not
     counted, tax only when apply_tax is TRUE (NULL is not taxed), cash advances
     never. One aggregation of the fee table, to be multiplied by the session's
     partner count."""
-    f = attach_rates(fees, rates, "fee_description")
+    f = attach_rates(_session_fees(fees, session_ids), rates, "fee_description")
     marketing = sql.sum_as(
         f"CASE WHEN fee_type = {sql.lit(S.FEE_MARKETING)} THEN fee_invoice END", AMOUNT_SUM)
     aggs = [sql.col(f"CAST(coalesce({marketing}, 0) AS {AMOUNT_SUM})", "invoice_marketing_fees")]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schemas as S
 from ledgerlens.functions.columns import PERCENT, RATE_SUM_TYPE
+from ledgerlens.session import stored
 
 
 def sessions(base: DataFrame) -> DataFrame:
@@ -24,11 +25,9 @@ def tax_rates(taxes: DataFrame, session_ids: DataFrame | None = None) -> DataFra
     one key add up; all-NULL rates give NULL, which later falls through to the
     default rate.
 
-    With ``session_ids`` only the sessions of the run are kept (the standalone
-    output). The reports pass none: their joins drop other sessions anyway, and
-    a semi-join fed by the fact table would cost the plan a second pass over it.
-    A filtered run therefore aggregates the whole (session-sized) tax table;
-    Spark's runtime bloom filter may prune that scan when it is large."""
+    With ``session_ids`` only the sessions of the run are aggregated (J1): filtered
+    runs pass the sessions of their stored lines, see :func:`run_sessions`. A run
+    over everything passes none, as its joins drop nothing a semi-join would."""
     if session_ids is not None:
         taxes = taxes.join(session_ids, "session_id", "left_semi")
     return (
@@ -38,18 +37,40 @@ def tax_rates(taxes: DataFrame, session_ids: DataFrame | None = None) -> DataFra
     )
 
 
+def run_sessions(lines: DataFrame, filtered: bool, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """(the run's aggregated lines, its sessions or None for all).
+
+    A filtered run stores its lines, aggregated already, so that the sessions that
+    prune the tax and fee tables come from a few rows of known size instead of a
+    second pass over the history. A run over everything needs no such list."""
+    if not filtered:
+        return lines, None
+    lines = stored(lines, name)
+    return lines, sessions(lines)
+
+
+def session_rates(rates: DataFrame) -> DataFrame:
+    """session -> map of each key with its rate, the default among them: what J4 and
+    J5 look up in one join. :func:`tax_rates` has one row per key, so a map holds as
+    many entries as the session has taxed plans and fee descriptions."""
+    return (
+        rates.where("session_id IS NOT NULL AND applies_to IS NOT NULL")
+        .groupBy(F.col("session_id").alias("_rates_session"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("applies_to", "tax_rate")))
+             .alias("_rates")))
+
+
 def attach_rates(df: DataFrame, rates: DataFrame, key: str) -> DataFrame:
-    """Add ``specific_rate`` (rate whose applies_to equals the SQL expression
-    ``key``), ``default_rate`` and the resolved ``tax_rate``. Both sides are
-    unique per key: no fan-out."""
-    specific = rates.selectExpr("session_id AS _ts_session", "applies_to AS _ts_key",
-                                "tax_rate AS specific_rate")
-    default = rates.where(F.col("applies_to") == S.TAX_DEFAULT_KEY).selectExpr(
-        "session_id AS _td_session", "tax_rate AS default_rate")
+    """Add ``tax_rate`` and ``tax_source`` by one rule: the session's rate for the SQL
+    expression ``key``, else the session's default rate, else 0. A key whose summed
+    rate is NULL counts as none. The rates are unique per session: no fan-out."""
+    default = f"'{S.TAX_DEFAULT_KEY}'"
+    steps = [(f"try_element_at(_rates, {key})", "specific"),
+             (f"try_element_at(_rates, {default})", "default")]
+    rate = ", ".join(e for e, _ in steps)
+    source = " ".join(f"WHEN {e} IS NOT NULL THEN '{name}'" for e, name in steps)
     return (
-        df.join(specific, F.expr(f"session_id = _ts_session AND {key} = _ts_key"), "left")
-        .join(default, F.expr("session_id = _td_session"), "left")
-        .drop("_ts_session", "_ts_key", "_td_session")
-        .withColumn("tax_rate", F.expr(
-            "coalesce(specific_rate, default_rate, CAST(0 AS decimal(13,6)))"))
-    )
+        df.join(session_rates(rates), F.expr("session_id = _rates_session"), "left")
+        .selectExpr(*[f"`{c}`" for c in df.columns],
+                    f"coalesce({rate}, CAST(0 AS decimal(13,6))) AS tax_rate",
+                    f"CASE {source} ELSE 'none' END AS tax_source"))

@@ -18,7 +18,7 @@ from ledgerlens.operators.commission import (INVOICE_KEYS, commission_by_plan, c
                                              rate_plans)
 from ledgerlens.operators.fees import fee_detail, session_fees_invoice
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
-from ledgerlens.operators.taxes import tax_rates
+from ledgerlens.operators.taxes import run_sessions, tax_rates
 from ledgerlens.plans.totals import with_total
 from ledgerlens.sources.catalog import Tables
 
@@ -30,11 +30,12 @@ MEASURES = ["commission", "fixed_fees", "total_share", "taxes"]
 def invoice_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     base = run_filter.apply(t.sales).withColumn("invoice_id", F.col("invoice_id").cast("string"))
     keys = list(INVOICE_KEYS)
-    # one pass over the sales lines: everything else joins their aggregate;
-    # the left join from the commission rows keeps only the run's sessions
-    rates = tax_rates(t.taxes)
-    comm = commission_totals(rate_plans(commission_by_plan(base, keys), rates), keys)
-    fees = session_fees_invoice(fee_detail(t.fees, None, rates))
+    # one pass over the sales lines: everything else joins their aggregate
+    by_plan, run = run_sessions(commission_by_plan(base, keys), run_filter.kind != "none",
+                                "invoice-commission")
+    rates = tax_rates(t.taxes, run)
+    comm = commission_totals(rate_plans(by_plan, rates), keys)
+    fees = session_fees_invoice(fee_detail(t.fees, run, rates))
     fin = comm.join(fees, "session_id", "left")
     fee, fee_tax = sql.zero_if_null("fee_invoice"), sql.zero_if_null("fee_invoice_tax")
     return fin.selectExpr(

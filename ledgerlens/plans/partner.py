@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import sqltext as sql
 from ledgerlens.functions.columns import with_partner_id
-from ledgerlens.operators.commission import partner_pairs, partner_totals
+from ledgerlens.operators.commission import partner_grain, partner_pairs, partner_totals
 from ledgerlens.operators.fees import (PARTNER_FEE_BUCKETS, PARTNER_FEE_MEASURES, attributed,
                                        partner_session_fee_totals, with_partner_count)
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.operators.items import canceled_reversals
-from ledgerlens.operators.taxes import tax_rates
+from ledgerlens.operators.taxes import run_sessions, tax_rates
 from ledgerlens.sources.catalog import Tables
 
 COLUMNS = ["partner_id", "gross_collected", "commission", "marketing_fees", "total_taxes",
@@ -40,9 +40,10 @@ def partner_summary(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     pass over the lines).
     """
     base = with_partner_id(run_filter.apply(t.sales))
-    rates = tax_rates(t.taxes)
-    pairs = with_partner_count(partner_pairs(base, rates))
-    fees = partner_session_fee_totals(t.fees, rates)
+    grain, run = run_sessions(partner_grain(base), run_filter.kind != "none", "partner-grain")
+    rates = tax_rates(t.taxes, run)
+    pairs = with_partner_count(partner_pairs(grain, rates))
+    fees = partner_session_fee_totals(t.fees, rates, run)
     per_partner = partner_totals(pairs.join(fees, "session_id", "left"),
                                  *attributed(PARTNER_FEE_MEASURES))
     reversals = canceled_reversals(base).withColumnRenamed("v", "reversed")

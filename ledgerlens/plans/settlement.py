@@ -17,7 +17,7 @@ from ledgerlens.functions import sqltext as sql
 from ledgerlens.operators.fees import settlement_session_fees
 from ledgerlens.operators.filters import NO_FILTER, RunFilter
 from ledgerlens.operators.items import settlement_lines
-from ledgerlens.operators.taxes import tax_rates
+from ledgerlens.operators.taxes import run_sessions, tax_rates
 from ledgerlens.plans.totals import with_total
 from ledgerlens.sources.catalog import Tables
 
@@ -29,11 +29,11 @@ COLUMNS = ["settlement_link", "input_date", "settlement_from", "settlement_to"]
 
 def settlement_detail(t: Tables, run_filter: RunFilter = NO_FILTER) -> DataFrame:
     base = run_filter.apply(t.sales)
-    # one pass over the sales lines; the left join from the settlement groups
-    # keeps only the run's sessions of the fee table
-    rates = tax_rates(t.taxes)
-    fees = settlement_session_fees(t.fees, None, rates)
-    fin = settlement_lines(base).join(fees, "session_id", "left")
+    # one pass over the sales lines
+    groups, run = run_sessions(settlement_lines(base), run_filter.kind != "none",
+                               "settlement-groups")
+    fees = settlement_session_fees(t.fees, run, tax_rates(t.taxes, run))
+    fin = groups.join(fees, "session_id", "left")
     mkt, cash, other = (sql.zero_if_null(c) for c in
                         ("marketing_fees_w_tax", "cash_advance_w_tax", "other_fees_w_tax"))
     deductions = sql.add("executed_commission_w_tax", "cancelled_commission_w_tax",

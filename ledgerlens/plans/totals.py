@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from ledgerlens.session import stored
+
 TOTAL_LABEL = "TOTAL"
 
 
@@ -15,9 +17,12 @@ def with_total(detail: DataFrame, label_col: str, measures: list[str]) -> DataFr
     first with NULL dates first; TOTAL always leads. The other non-measure columns
     break ties, so the range sort can split the rows of one input date.
 
-    The TOTAL is a global aggregate, so it returns one row even for an empty
+    The detail is stored first: TOTAL and detail both read it, so each join of the
+    report runs once (A13), and the sort's sampling pass reads it instead of
+    computing it again. The TOTAL is a global aggregate, so it returns one row even for an empty
     detail (all sums NULL) — unlike a rollup, which returns none.
     """
+    detail = stored(detail, "report-detail")
     fields = detail.schema.fields
     types = {f.name: f.dataType.simpleString() for f in fields}
     sums = detail.agg(*[

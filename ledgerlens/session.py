@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the reports rely on. AQE does the runtime work the plans count on:
 # it broadcasts a join side only after measuring it (the size check behind every
@@ -127,3 +127,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     root = shared_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again: computed once,
+    lineage cut, and its size known from its files when a join is planned."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
