@@ -5,8 +5,9 @@
 
 The report is computed exactly once: it is checkpointed (reliably, into the
 session's shared ``spark.checkpoint.dir``), which both cuts the lineage — a
-lost executor does not re-run the scans — and lets the emptiness check, the
-snapshot and the export read the small result instead of recomputing it.
+lost executor does not re-run the scans — and lets the snapshot and the export
+read the small result instead of recomputing it. The snapshot's write counts the
+rows as they pass (an Observation): no job of its own counts them.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def run(spark: SparkSession, tables: Tables, report: str = DEFAULT_REPORT,
     table_name = snapshot_name(report, run_date)
     try:
         result = REPORTS[report](tables, run_filter).checkpoint(eager=True)
-        rows = result.count()
-        snapshot(result, f"{out}/snapshots", report, run_date, rows)
+        written = snapshot(result, f"{out}/snapshots", report, run_date)
+        rows = written.rows if written else 0
         try:
             exported = export_cells(result, f"{out}/exports/{table_name}", legacy_strings, rows)
         except Exception:  # an export failure does not fail the run, but is on record

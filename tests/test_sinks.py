@@ -17,7 +17,8 @@ from ledgerlens.job import run
 from ledgerlens.operators.filters import RunFilter
 from ledgerlens.session import scratch_dir
 from ledgerlens.sinks.export import export_cells, read_cells
-from ledgerlens.sinks.snapshot import snapshot, snapshot_name
+from ledgerlens.sinks.snapshot import read_snapshot, snapshot, snapshot_name
+from ledgerlens.sinks.versions import Versioned
 
 
 def test_cell_rules(spark):
@@ -42,30 +43,81 @@ def test_cell_rules(spark):
 
 def test_snapshot_and_export_skip_empty_results(spark):
     root = scratch_dir(spark, "empty")
+    day = dt.date(2024, 1, 2)
     empty = spark.createDataFrame([], "a int")
-    assert snapshot(empty, root, "partner_summary", dt.date(2024, 1, 2)) is None
+    assert snapshot(empty, root, "partner_summary", day) is None
     assert export_cells(empty, f"{root}/export") is False
-    assert not os.path.exists(root)
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, root, "partner_summary", day)
+    snapshot(spark.createDataFrame([(1,)], "a int"), root, "partner_summary", day)
+    assert snapshot(empty, root, "partner_summary", day) is None
+    assert [r.a for r in read_snapshot(spark, root, "partner_summary", day).collect()] == [1]
 
 
-def test_snapshot_overwrites_dated_table(spark):
+def test_snapshot_replaces_dated_table(spark):
     root = scratch_dir(spark, "snap")
     day = dt.date(2024, 3, 9)
-    first = spark.createDataFrame([(1,), (2,)], "a int")
-    path = snapshot(first, root, "invoice_summary", day)
-    assert path.endswith("/invoice_summary_20240309")
+    first = snapshot(spark.createDataFrame([(1,), (2,)], "a int"), root, "invoice_summary", day)
+    assert "/invoice_summary_20240309/" in first.path and first.rows == 2
+    opened = spark.read.parquet(first.path)  # a reader that found the first version
     snapshot(spark.createDataFrame([(3,)], "a int"), root, "invoice_summary", day)
-    assert [r.a for r in spark.read.parquet(path).collect()] == [3]
+    assert [r.a for r in read_snapshot(spark, root, "invoice_summary", day).collect()] == [3]
+    assert sorted(r.a for r in opened.collect()) == [1, 2]
+    snapshot(spark.createDataFrame([(4,)], "a int"), root, "invoice_summary", day)
+    assert len(glob.glob(f"{root}/invoice_summary_20240309/versions/*")) == 2
+    assert not os.path.exists(first.path)
     assert snapshot_name("x", day) == "x_20240309"
 
 
+def test_a_failed_write_leaves_the_old_version(spark):
+    """Half the tasks write their part before one fails."""
+    table = Versioned(spark, scratch_dir(spark, "versions"))
+    table.write(spark.range(100))
+    bad = spark.range(0, 1000, 1, 8).selectExpr(
+        "CASE WHEN id = 999 THEN CAST(raise_error('midway') AS BIGINT) ELSE id END AS id")
+    with pytest.raises(Exception, match="midway"):
+        table.write(bad)
+    assert table.read().count() == 100 and table.current().rows == 100
+    assert len(glob.glob(f"{table.path}/versions/*")) == 1
+    assert [os.path.basename(p) for p in glob.glob(f"{table.path}/current*")] == ["current"]
+    table.write(spark.range(7))
+    assert table.read().count() == 7
+
+
+def test_a_write_that_fails_to_publish_leaves_the_old_version(spark, monkeypatch):
+    table = Versioned(spark, scratch_dir(spark, "versions"))
+    table.write(spark.range(5))
+
+    def lost(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(table.files, "replace", lost)
+    with pytest.raises(OSError):
+        table.write(spark.range(9))
+    assert Versioned(spark, table.path).read().count() == 5
+
+
+def test_job_does_not_count_the_report(spark, monkeypatch):
+    """The rows of the run log come from the snapshot's write."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def no_count(self):
+        raise AssertionError("a job counts the report")
+
+    t = make_tables(spark, sales=[sale(), sale(partner_raw="2")], taxes=[tax()], fees=[fee()])
+    monkeypatch.setattr(DataFrame, "count", no_count)
+    row = run(spark, t, "invoice_summary", run_date=dt.date(2024, 5, 1),
+              out=scratch_dir(spark, "job-observe"))
+    assert row.first().rows_returned == 2
+
+
 def test_job_writes_snapshot_export_and_log(spark):
     t = make_tables(spark, sales=[sale(), sale(partner_raw="2")], taxes=[tax()], fees=[fee()])
     out = scratch_dir(spark, "job")
     row = run(spark, t, "invoice_summary", run_date=dt.date(2024, 5, 1), out=out).first()
     assert (row.status, row.report, row.rows_returned) == ("success", "invoice_summary", 2)
     assert row.table_name == "invoice_summary_20240501"
-    snap = spark.read.parquet(f"{out}/snapshots/invoice_summary_20240501")
+    snap = read_snapshot(spark, f"{out}/snapshots", "invoice_summary", dt.date(2024, 5, 1))
     assert snap.count() == 2
     csv = glob.glob(f"{out}/exports/invoice_summary_20240501/part-*.csv")
     text = "".join(open(p).read() for p in sorted(csv))
@@ -112,7 +164,8 @@ def test_job_with_empty_partner_report_logs_zero_rows(spark):
     row = run(spark, t, "partner_summary", RunFilter(contract_code="nope"),
               dt.date(2024, 5, 1), out).first()
     assert row.rows_returned == 0
-    assert not os.path.exists(f"{out}/snapshots/partner_summary_20240501")
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, f"{out}/snapshots", "partner_summary", dt.date(2024, 5, 1))
 
 
 def test_job_rejects_unknown_report(spark):
@@ -138,4 +191,5 @@ def test_job_command_line(spark, capsys):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert "settlement_summary_20240203" in capsys.readouterr().out
-    assert spark.read.parquet(f"{out}/snapshots/settlement_summary_20240203").count() == 2
+    day = dt.date(2024, 2, 3)
+    assert read_snapshot(spark, f"{out}/snapshots", "settlement_summary", day).count() == 2
