@@ -31,12 +31,13 @@ def item_history(base: DataFrame) -> DataFrame:
     """A8: item -> reversal amounts ``-max(gross)``, ``-max(collected)`` (NULL -> 0).
     NULL item ids form their own group, as in a plain GROUP BY."""
     return base.groupBy("item_id").agg(
-        _reversal_agg("gross_amount").alias("hist_gross"),
-        _reversal_agg("collected_amount").alias("hist_collected"),
+        reversal("gross_amount").alias("hist_gross"),
+        reversal("collected_amount").alias("hist_collected"),
     )
 
 
-def _reversal_agg(col: str) -> F.Column:
+def reversal(col: str) -> F.Column:
+    """What a canceled line of a group reverses, from ``col`` of the group's rows."""
     return F.coalesce(-F.max(col), F.lit(0))
 
 
@@ -69,49 +70,73 @@ def consolidated_items(base: DataFrame) -> DataFrame:
     )
 
 
-def settlement_lines(base: DataFrame) -> DataFrame:
-    """A12: settlement group -> gross, collected, executed / cancelled / advance
-    commission with tax, with the (item, status) self-join multiplicities.
-
-    A line with an item and a status meets all N lines of its (item, status): it
-    counts N times and brings their consolidated sum, which for canceled lines is N
-    reversals of the item. So n such lines of a settlement group bring n times that
-    sum and N times their commission. A line without item or status meets nothing:
-    it counts once and brings no amount. NULL items are spread over the windows'
-    tasks by session."""
-    keys = list(SETTLEMENT_KEYS)
-    lines = base.groupBy(*keys, "item_id", "item_status").agg(
+def item_status_rows(base: DataFrame) -> DataFrame:
+    """The lines summed per (settlement group, item, status): count ``n``, sums and
+    maxima of the amounts, and the commission with tax."""
+    return base.groupBy(*SETTLEMENT_KEYS, "item_id", "item_status").agg(
         F.expr("CAST(count(1) AS INT) AS n"),
-        *[F.expr(f"{f}({c}) AS {f}_{t}") for c, t in (("gross_amount", "gross"),
-                                                     ("collected_amount", "collected"))
+        *[F.expr(f"{f}({c}) AS {f}_{t}") for t, c in (("gross", "gross_amount"),
+                                                     ("collected", "collected_amount"))
           for f in ("sum", "max")],
         F.expr("sum(commission_w_tax) AS commission"))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """:func:`item_status_rows` with the item's reversal amounts and the count and sums
+    of the (item, status). NULL items are spread over the windows' tasks by session."""
     item = "item_id, CASE WHEN item_id IS NULL THEN session_id END"
-    lines = lines.selectExpr(
-        *keys, "item_id", "item_status", "n", "commission",
+    return rows.selectExpr(
+        *SETTLEMENT_KEYS, "item_id", "item_status", "n", "commission",
         *[f"coalesce(-max(max_{t}) OVER (PARTITION BY {item}), 0) AS back_{t}"
           for t in ("gross", "collected")],
         f"CAST(sum(n) OVER (PARTITION BY {item}, item_status) AS INT) AS all_n",
         *[f"sum(sum_{t}) OVER (PARTITION BY {item}, item_status) AS all_{t}"
           for t in ("gross", "collected")])
+
+
+def _settlement_measures() -> dict[str, tuple[str, str]]:
+    """measure -> (term of a row of :func:`_met`, type of the terms' sum)."""
     canceled = f"item_status = {sql.lit(S.STATUS_CANCELED)}"
     met = "item_id IS NOT NULL AND item_status IS NOT NULL"
-
-    def amount(t: str) -> F.Column:
+    out = {}
+    for t in ("gross", "collected"):
         whole = (f"CASE WHEN {canceled} THEN CAST(all_n * back_{t} AS {AMOUNT_SUM}) "
                  f"ELSE CAST(all_{t} AS {AMOUNT_SUM}) END")
-        return sql.col(sql.sum_as(f"CASE WHEN {met} THEN n * {whole} END", AMOUNT_SUM),
-                       f"{t}_revenue")
-
-    def commission(status: str, alias: str) -> F.Column:
-        times = f"CASE WHEN {met} THEN all_n ELSE 1 END"
-        return sql.col(sql.sum_as(
+        out[f"{t}_revenue"] = f"CASE WHEN {met} THEN n * {whole} END", AMOUNT_SUM
+    times = f"CASE WHEN {met} THEN all_n ELSE 1 END"
+    for status, name in ((S.STATUS_VALIDATED, "executed"), (S.STATUS_CANCELED, "cancelled"),
+                         (S.STATUS_PURCHASED, "advance")):
+        out[f"{name}_commission_w_tax"] = (
             f"CASE WHEN item_status = {sql.lit(status)} THEN {times} * commission ELSE 0 END",
-            TAXED_AMOUNT_SUM), f"{alias}_commission_w_tax")
+            TAXED_AMOUNT_SUM)
+    return out
+
+
+SETTLEMENT_MEASURES = _settlement_measures()
+
+
+def settlement_lines(base: DataFrame) -> DataFrame:
+    """A12: settlement group -> gross, collected, executed / cancelled / advance
+    commission with tax, with the (item, status) self-join multiplicities.
 
-    return lines.groupBy(*keys).agg(
-        amount("gross"), amount("collected"), commission(S.STATUS_VALIDATED, "executed"),
-        commission(S.STATUS_CANCELED, "cancelled"), commission(S.STATUS_PURCHASED, "advance"))
+    A line with an item and a status meets all N lines of its (item, status): it
+    counts N times and brings their consolidated sum, which for canceled lines is N
+    reversals of the item. So n such lines of a settlement group bring n times that
+    sum and N times their commission. A line without item or status meets nothing:
+    it counts once and brings no amount."""
+    return _met(item_status_rows(base)).groupBy(*SETTLEMENT_KEYS).agg(*[
+        sql.col(sql.sum_as(term, kind), m) for m, (term, kind) in SETTLEMENT_MEASURES.items()])
+
+
+def settlement_terms(rows: DataFrame) -> DataFrame:
+    """:func:`settlement_lines` from :func:`item_status_rows` that hold whole items, in a
+    form that can be added up: measures without terms are 0, ``{measure}_terms`` counts
+    the terms that have a value, ``lines`` the lines."""
+    return _met(rows).groupBy(*SETTLEMENT_KEYS).agg(
+        F.sum("n").alias("lines"), *[
+            c for m, (term, kind) in SETTLEMENT_MEASURES.items() for c in (
+                sql.col(f"CAST(coalesce(sum({term}), 0) AS {kind})", m),
+                sql.col(f"count({term})", f"{m}_terms"))])
 
 
 def canceled_reversals(base: DataFrame) -> DataFrame:

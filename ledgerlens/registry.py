@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import money_to_double
 from ledgerlens.sources.catalog import Tables
@@ -65,10 +66,13 @@ from ledgerlens.operators import commission as C  # noqa: E402
 from ledgerlens.operators import fees as FE  # noqa: E402
 from ledgerlens.operators import items as I  # noqa: E402
 from ledgerlens.operators import taxes as TX  # noqa: E402
+from ledgerlens.operators.daily import SettlementState  # noqa: E402
 from ledgerlens.operators.filters import RunFilter  # noqa: E402
+from ledgerlens.operators.lookup_index import LookupIndex  # noqa: E402
 from ledgerlens.plans.invoice import invoice_summary  # noqa: E402
 from ledgerlens.plans.partner import partner_summary  # noqa: E402
 from ledgerlens.plans.settlement import settlement_summary  # noqa: E402
+from ledgerlens.session import scratch_dir  # noqa: E402
 
 # Fixed parameters of the filtered / lookup queries: a partner spelt with a
 # thousands comma ("1,000") and a contract shared by several partners. Both
@@ -139,7 +143,7 @@ def _consolidated_items(t: Tables) -> DataFrame:
 @query("partner_revenue")
 def _partner_revenue(t: Tables) -> DataFrame:
     base = with_partner_id(t.sales)
-    own = C.partner_totals(C.partner_pairs(base, _rates(t)))
+    own = C.partner_totals(C.partner_pairs(C.partner_grain(base), _rates(t)))
     return I.partner_revenue(own, I.canceled_reversals(base))
 
 
@@ -148,6 +152,30 @@ def _settlement_lines(t: Tables) -> DataFrame:
     return I.settlement_lines(t.sales)
 
 
+def _state_of_two_days(t: Tables) -> SettlementState:
+    """The whole history taken in as two days that share items and groups, the second
+    day twice."""
+    spark = t.sales.sparkSession
+    state = SettlementState(spark, scratch_dir(spark, "settlement-state"), buckets=16)
+    first = F.coalesce(F.col("plan_id") < 10, F.lit(True))
+    state.ingest("2024-01-01", t.sales.where(first))
+    state.ingest("2024-01-02", t.sales.where(~first))
+    state.ingest("2024-01-02", t.sales.where(~first))
+    return state
+
+
+@query("settlement_lines_by_day")
+def _settlement_lines_by_day(t: Tables) -> DataFrame:
+    """A12 from the state that is carried from day to day."""
+    return _state_of_two_days(t).settlement_lines()
+
+
+@query("item_history_by_day")
+def _item_history_by_day(t: Tables) -> DataFrame:
+    """A8 from the state that is carried from day to day."""
+    return _state_of_two_days(t).item_history()
+
+
 # -- reports (R1-R3) with and without run filters ---------------------------------------
 
 @query("invoice_summary")
@@ -226,6 +254,28 @@ def _latest_contract_by_partner(t: Tables) -> DataFrame:
     return L.latest_contract_by_partner(t.sales)
 
 
+def _index_of_two_halves(t: Tables) -> LookupIndex:
+    """The whole history merged as two parts that share contracts and partners."""
+    index = LookupIndex(t.sales.sparkSession, scratch_dir(t.sales.sparkSession, "lookup-index"),
+                        buckets=16)
+    first = F.coalesce(F.col("plan_id") < 10, F.lit(True))
+    index.merge(t.sales.where(first))
+    index.merge(t.sales.where(~first))
+    return index
+
+
+@query("indexed_partner_by_contract")
+def _indexed_partner_by_contract(t: Tables) -> DataFrame:
+    """L1 for every contract from the kept index."""
+    return _index_of_two_halves(t).latest_partner_by_contract()
+
+
+@query("indexed_contracts_of_partner")
+def _indexed_contracts_of_partner(t: Tables) -> DataFrame:
+    """L3 from one bucket of the kept index."""
+    return _index_of_two_halves(t).contracts_of_partner(PARTNER)
+
+
 # -- sinks (K1-K4) ----------------------------------------------------------------------
 
 import datetime as _dt  # noqa: E402
@@ -251,7 +301,6 @@ def _invoice_report_cells(t: Tables) -> DataFrame:
 @query("export_roundtrip", doubles=False)
 def _export_roundtrip(t: Tables) -> DataFrame:
     """Export the partner summary as a CSV folder and read it back (K2)."""
-    from ledgerlens.session import scratch_dir
     from ledgerlens.sinks.export import export_cells, read_cells
 
     spark = t.sales.sparkSession
@@ -263,13 +312,12 @@ def _export_roundtrip(t: Tables) -> DataFrame:
 @query("snapshot_roundtrip")
 def _snapshot_roundtrip(t: Tables) -> DataFrame:
     """Snapshot the partner summary to a dated folder and read it back."""
-    from ledgerlens.session import scratch_dir
-    from ledgerlens.sinks.snapshot import snapshot
+    from ledgerlens.sinks.snapshot import read_snapshot, snapshot
 
     spark = t.sales.sparkSession
-    path = snapshot(partner_summary(t), scratch_dir(spark, "snapshots"), "partner_summary",
-                    RUN_DATE)
-    return spark.read.parquet(path)
+    root = scratch_dir(spark, "snapshots")
+    snapshot(partner_summary(t), root, "partner_summary", RUN_DATE)
+    return read_snapshot(spark, root, "partner_summary", RUN_DATE)
 
 
 @query("run_log")
@@ -277,7 +325,6 @@ def _run_log(t: Tables) -> DataFrame:
     """Run the whole partner-summary job; its run-log row without the wall-clock
     time (the only column that differs between runs)."""
     from ledgerlens.job import run
-    from ledgerlens.session import scratch_dir
 
     spark = t.sales.sparkSession
     row = run(spark, t, "partner_summary", run_date=RUN_DATE, out=scratch_dir(spark, "job"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schemas as S
+from ledgerlens.session import stored
 from ledgerlens.sources import fixtures
 
 TABLE_NAMES = ("sales_lines", "taxes", "fees", "accounts")
@@ -86,15 +87,11 @@ class Tables:
         """Write all four tables as parquet under ``root`` and return them re-read.
 
         The sales history also stores the normalized ``partner_id`` so partner
-        filters reach Parquet statistics, and each file is sorted by partner and
-        contract so row-group min/max pruning works for both lookups. The sort is
-        within partitions only: no extra shuffle on top of the ingest join.
-
-        ``files`` (optional) fixes the number of sales files with a round-robin
-        repartition — skew-safe, unlike a range split on a partner that may hold
-        a third of the rows. Left unset, AQE sizes the ingest output partitions,
-        which is what a cluster wants; a small local run sets it so that scans
-        get one task per core.
+        filters reach Parquet statistics, and it is clustered: see
+        :func:`_write_sales`. ``files`` (optional) fixes the number of sales files;
+        left unset, it is the number of shuffle partitions, which
+        :func:`~ledgerlens.session.cluster_conf` sizes from the data. AQE merges
+        small ones.
         """
         root = root.rstrip("/")
         _write_sales(self.sales, f"{root}/sales_lines", files)
@@ -108,11 +105,12 @@ class Tables:
                files: int | None = None) -> "Tables":
         """Derive the tables from the driver data and write them under ``root``.
 
-        The sales lines are written first and the per-session tax rows derived
-        from the written table, so the lineitem/orders join runs once (plus
-        the small filtered one the fee table needs)."""
+        The sales lines are joined and stored once: the clustering reads them twice
+        (a sample, then all), and the tax rows are derived from the written table.
+        The fee table joins one row an order."""
         root = root.rstrip("/")
-        _write_sales(fixtures.sales_lines(spark, sf_dir), f"{root}/sales_lines", files)
+        _write_sales(stored(fixtures.sales_lines(spark, sf_dir), "sales-lines"),
+                     f"{root}/sales_lines", files)
         written = spark.read.parquet(f"{root}/sales_lines")
         fixtures.taxes(spark, sf_dir, written).write.mode("overwrite").parquet(f"{root}/taxes")
         fixtures.fees(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/fees")
@@ -124,12 +122,18 @@ class Tables:
 
 
 def _write_sales(sales: DataFrame, path: str, files: int | None) -> None:
-    """Write the sales history with its stored ``partner_id``, each file sorted
-    by (partner, contract); see :meth:`Tables.materialize`."""
+    """Write the sales history clustered by (partner, contract), with its ``partner_id``.
+
+    The files are ranges of (partner, contract, item), cut at quantiles of a sample, so
+    they are about equally large whatever the keys' sizes: a partner with a third of the
+    rows fills a third of the files, split by its contracts and, within a hot contract,
+    by item. A run of one partner then reads the files whose range holds it and skips
+    the others by their statistics, and so does a contract filter within a partner; the
+    sort inside a file does the same for its row groups."""
     from ledgerlens.functions.columns import partner_id
 
+    range_keys = ("partner_id", "contract_code", "item_id")
     sales = sales.withColumn("partner_id", partner_id())
-    if files:
-        sales = sales.repartition(int(files))
-    sales.sortWithinPartitions("partner_id", "contract_code").write.mode(
-        "overwrite").parquet(path)
+    ranged = (sales.repartitionByRange(int(files), *range_keys) if files
+              else sales.repartitionByRange(*range_keys))
+    ranged.sortWithinPartitions(*range_keys).write.mode("overwrite").parquet(path)

@@ -6,11 +6,12 @@ derived, deterministically and with functions Spark and DuckDB share, from
 
 * one sales line per lineitem row, joined to its order (``sales_lines``);
 * a few tax rows per billing session (``taxes``);
-* a fixed fee for every tenth order (``fees``);
+* one fixed fee for every order that has lines (``fees``);
 * one account per supplier (``accounts``).
 
-Everything is a lazy DataFrame; the only shuffle is the lineitem/orders join,
-which at scale is the ingest job that materializes ``sales_lines`` once.
+Everything is a lazy DataFrame; the only shuffles are the lineitem/orders join,
+which at scale is the ingest job that materializes ``sales_lines`` once, and the
+lines counted down to one per order for the fees.
 """
 
 from __future__ import annotations
@@ -63,17 +64,22 @@ def _case(col: Column, mapping, default=None) -> Column:
     return out.otherwise(F.lit(default)) if default is not None else out
 
 
+def _with_orders(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lines`` (l_orderkey, l_suppkey, ...) joined to their order, with the session."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    k = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return k.withColumn("session_id", F.col("l_suppkey") * 10 + (F.year("o_orderdate") - 1995))
+
+
 def _keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem joined to its order, with the derived keys every table needs."""
+    """lineitem joined to its order, with the derived keys of the sales lines."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
-    k = li.join(orders, li.l_orderkey == orders.o_orderkey)
     year = F.year("o_orderdate")
     return (
-        k.withColumn("session_id", F.col("l_suppkey") * 10 + (year - 1995))
+        _with_orders(li, spark, sf_dir)
         .withColumn("q0", F.make_date(year, (F.quarter("o_orderdate") - 1) * 3 + 1, F.lit(1)))
         .withColumn("px", F.col("l_extendedprice").cast(S.MONEY_12_2))
         .withColumn("dc", F.col("l_discount").cast("decimal(4,2)"))
@@ -143,8 +149,12 @@ def taxes(spark: SparkSession, sf_dir: str, sales: DataFrame | None = None) -> D
 
 
 def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = _keyed_lines(spark, sf_dir).where(
-        F.col("l_linenumber") == 1)
+    """One fee per order that has lines; session and contract are those of its first
+    line (of equal line numbers, the one with the smallest supplier)."""
+    first = (read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+             .agg(F.min(F.struct("l_linenumber", "l_suppkey")).alias("first"))
+             .select("l_orderkey", "first.l_suppkey"))
+    k = _with_orders(first, spark, sf_dir)
     total = F.col("o_totalprice").cast(S.MONEY_12_2)
     description = (
         F.when(F.col("l_orderkey") % 11 == 0, F.lit(None).cast("string"))

@@ -1,0 +1,32 @@
+"""Clustering of the stored sales history: which files a filtered run touches."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from conftest import make_tables, sale
+
+from ledgerlens.operators.filters import RunFilter
+from ledgerlens.session import scratch_dir
+
+
+def files(df) -> int:
+    return df.select(F.input_file_name()).distinct().count()
+
+
+def test_a_partner_run_skips_whole_files_and_a_hot_partner_is_split(spark):
+    """Partner 1 holds half of all lines, most of them under one contract."""
+    rows = [sale(partner_raw="1", contract_code="hot" if i % 4 else f"C{i}", item_id=i)
+            for i in range(1500)]
+    rows += [sale(partner_raw=str(2 + i % 60), contract_code=f"C{i % 7}", item_id=5000 + i)
+             for i in range(1500)]
+    t = make_tables(spark, rows).materialize(scratch_dir(spark, "layout"), files=12)
+    whole = files(t.sales)
+    assert whole == 12
+    hot = files(RunFilter(partner_id=1).apply(t.sales))
+    assert 5 <= hot <= 8
+    for partner in (2, 30, 61):
+        assert files(RunFilter(partner_id=partner).apply(t.sales)) <= 2
+    assert files(t.sales.where("partner_id = 1 AND contract_code = 'C8'")) <= 2
+    sizes = [r["count"] for r in t.sales.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 2.5 * min(sizes)
