@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import math
 import os
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -31,14 +33,49 @@ def test_cell_rules(spark):
         (None, None, "", None, None),
         (7, D("0.125"), "70123", None, -2),
         (8, D("-2.675"), "inv/1", None, 0),
+        (9, D("2.6751"), "1_000", None, 7),
     ], schema)
     got = [tuple(r) for r in report_cells(df).collect()]
     assert got == [("1234", "12.30", "text", "2024-01-31", "5.00"),
                    ("", "", "", "", ""),
-                   ("7", "0.12", "70123", "", "-2.00"),      # half to even
-                   ("8", "-2.68", "inv/1", "", "0.00")]
+                   ("7", "0.12", "70123", "", "-2.00"),      # a tie: half to even
+                   ("8", "-2.67", "inv/1", "", "0.00"),      # below the tie as a double
+                   ("9", "2.68", "1_000", "", "7.00")]
     legacy = [r.label for r in report_cells(df, legacy_strings=True).collect()]
-    assert legacy == ["text", "", "70123.00", "inv/1"]
+    assert legacy == ["text", "", "70123.00", "inv/1", "1000.00"]
+
+
+def test_doubles_print_as_their_exact_value(spark):
+    """Against the language's own formatting: ties, values beside ties, fine fractions,
+    carries, large values, signs and special values."""
+    rng = random.Random(4)
+    values = [0.125, 0.375, 2.675, 1.005, 0.005, 0.015, 0.995, 9.995, 99.995, 0.0, -0.0, -0.001,
+              -0.005, 1e-300, 5e-324, 0.5, 1.5, 2 ** 52 + 0.5, 2.0 ** 52 - 0.5, 2.0 ** 53 + 2, 1e15 + 0.125,
+              1e15 + 0.375, 4503599627370495.5, 9.2e18, 2.0 ** 63, 1e19, 1.2345e25, 7e37, -3e30,
+              float("inf"), float("-inf"), float("nan")]
+    values += [k / 8 + s for k in range(0, 40) for s in (0, 1e9, 123456)]
+    values += [(2 * k + 1) / 200 for k in range(200)]  # what looks like a tie in decimals
+    values += [math.nextafter(v, d) for v in (0.125, 0.375, 0.005, 5.625) for d in (0, 10)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 17) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.v for r in report_cells(df).collect()]
+    assert got == [f"{v:.2f}" for v in values]
+
+
+def test_numeric_text_by_the_grammar_of_the_source(spark):
+    texts = ["1_000", "1__0", "_1", "1_", " 12 ", "7.", ".5", "-.5e1", "1e3", "1e_3", "1_0e1_0", "+4",
+             "nan", "-NaN", "inf", "-Infinity", "infin", "1d", "0x10", "1,000", "--1", "1e400", "e5",
+             ".", "", "2.675", "1_0.2_5"]
+
+    def source(text):
+        try:
+            return f"{float(text):.2f}" if text else ""
+        except ValueError:
+            return text
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.t for r in report_cells(df, legacy_strings=True).collect()]
+    assert got == [source(t) for t in texts]
 
 
 def test_snapshot_and_export_skip_empty_results(spark):
