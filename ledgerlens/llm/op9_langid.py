@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,31 +170,34 @@ def gram_counts(docs: DataFrame, group: str) -> DataFrame:
     return counts.groupBy(group, "gram").agg(F.sum("n").alias("n"))
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """The models as rows: lang, k (order), part (0: a gram's first term, 1: a
-    context's lambda), gram, value. counts: lang, gram, n."""
-    out, table = None, counts
-    for k in range(ORDER, 0, -1):
+def kneser_ney(counts: DataFrame, langs: list[str]) -> dict[int, DataFrame]:
+    """The models: per order lang, part (0: a gram's first term, 1: a context's
+    lambda), gram, value. counts: lang, gram, n. Each order's counts and model are
+    written before the next is begun, so no plan spans more than one of them."""
+    out, table = {}, counts
+    for k in range(ORDER if langs else 0, 0, -1):
         if k < ORDER:
-            table = table.groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(
-                F.count(F.lit(1)).alias("n"))
+            table = written(table.groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(
+                F.count(F.lit(1)).alias("n")), f"language-grams-{k}")
         ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
-        discount = table.groupBy("lang").agg(((ones + 0.5) / (ones + 2 * twos + 1)).alias("d"))
+        discounts = table.groupBy("lang").agg(
+            ((ones + 0.5) / (ones + 2 * twos + 1)).alias("d")).collect()
+        d = F.element_at(F.create_map(*[F.lit(x) for r in discounts for x in (r["lang"], r["d"])]),
+                         F.col("lang"))
         context = table.groupBy("lang", F.substring("gram", 1, k - 1).alias("context")).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).join(discount, "lang")
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
         grams = table.withColumn("context", F.substring("gram", 1, k - 1)).join(
             context, ["lang", "context"])
-        first = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")
-        parts = grams.select("lang", F.lit(k).alias("k"), F.lit(0).alias("part"), "gram",
-                             first.alias("value"))
-        rest = F.col("d") * F.col("kinds") / F.col("total")
-        parts = parts.unionAll(context.select("lang", F.lit(k), F.lit(1), "context", rest))
-        out = parts if out is None else out.unionAll(parts)
+        parts = grams.select("lang", F.lit(0).alias("part"), "gram", (
+            F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total")).alias("value"))
+        rest = context.select("lang", F.lit(1), "context",
+                              d * F.col("kinds") / F.col("total"))
+        out[k] = written(parts.unionAll(rest), f"language-model-{k}")
     return out
 
 
-def _hash_of(batch: pa.RecordBatch):
-    """Hash of each gram, as ``gram_hashes`` has it."""
+def _hash_of(batch: pa.RecordBatch, langs: list[str]):
+    """Hash of each gram, as ``gram_hashes`` has it, and the place of its language."""
     grams = batch.column("gram").to_pylist()
     out = np.empty(len(grams), np.uint64)
     lengths = np.array([len(g) for g in grams], np.int64)
@@ -204,7 +208,7 @@ def _hash_of(batch: pa.RecordBatch):
         for j in range(k):
             h += (cps[k - 1 - j::k].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[j]
         out[own] = mix(h)
-    yield record(lang=batch.column("lang"), k=batch.column("k"), part=batch.column("part"),
+    yield record(code=pc.index_in(batch.column("lang"), pa.array(langs, pa.string())),
                  h=pa.array(out.view(np.int64)), value=batch.column("value"))
 
 
@@ -212,23 +216,30 @@ class Models:
     """Sorted hash arrays: for each order and part (hashes, values: a row a hash, a
     column a language)."""
 
-    def __init__(self, rows: pa.Table, langs: list[str], alphabet: int):
+    def __init__(self, langs: list[str], alphabet: int):
         self.langs, self.floor, self.parts = langs, 1.0 / (alphabet + 1), {}
-        coded = rows["lang"].combine_chunks().dictionary_encode()
-        place = np.array([langs.index(x) for x in coded.dictionary.to_pylist()], np.int64)
-        lang = place[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
-        k, part = rows["k"].to_numpy(), rows["part"].to_numpy()
-        h, value = rows["h"].to_numpy().view(np.uint64), rows["value"].to_numpy()
-        for order in range(1, ORDER + 1):
-            for p in (0, 1):
-                own = (k == order) & (part == p)
-                keys, row = np.unique(h[own], return_inverse=True)
-                values = np.full((len(keys), len(langs)), float(p), np.float32)
-                values[row, lang[own]] = value[own]
-                self.parts[order, p] = keys, values
+
+    @classmethod
+    def of(cls, model: dict[int, DataFrame], langs: list[str], alphabet: int) -> "Models":
+        """The arrays of ``model``; the driver holds the rows of one order and part at a
+        time beside them."""
+        out = cls(langs, alphabet)
+        for order, rows in model.items():
+            for part in (0, 1):
+                out._add(order, part, map_arrow(
+                    rows.where(F.col("part") == part).select(
+                        "lang", "gram", F.col("value").cast("float").alias("value")),
+                    lambda b: _hash_of(b, langs), "code int, h long, value float").toArrow())
+        return out
+
+    def _add(self, order: int, part: int, rows: pa.Table) -> None:
+        keys, row = np.unique(rows["h"].to_numpy().view(np.uint64), return_inverse=True)
+        values = np.full((len(keys), len(self.langs)), float(part), np.float32)
+        values[row, rows["code"].to_numpy()] = rows["value"].to_numpy()
+        self.parts[order, part] = keys, values
 
     def _look(self, order: int, part: int, h: np.ndarray) -> np.ndarray:
-        keys, values = self.parts[order, part]
+        keys, values = self.parts.get((order, part), ((), None))
         if not len(keys):
             return np.full((len(h), len(self.langs)), float(part), np.float32)
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
@@ -290,7 +301,7 @@ def _entropies(batch: pa.RecordBatch, models: Models):
          pa.array(out, pa.list_(pa.float64()))], names=[*names, "chars", "entropies"])
 
 
-def entropies_by_join(docs: DataFrame, model: DataFrame, langs: list[str],
+def entropies_by_join(docs: DataFrame, model: dict[int, DataFrame], langs: list[str],
                       alphabet: int) -> DataFrame:
     """What the broadcast arrays give, for a model of any size: name, chars and
     entropies of each distinct document (name, text), by joins of gram counts with the
@@ -302,10 +313,10 @@ def entropies_by_join(docs: DataFrame, model: DataFrame, langs: list[str],
     names = F.array(*[F.lit(x) for x in langs])
     p = counts.select("gram").distinct().select("gram", F.explode(names).alias("lang"),
                                                 F.lit(1.0 / (alphabet + 1)).alias("p"))
-    for k in range(1, ORDER + 1):
-        here = model.where(f"k = {k} AND part = 0").select(
+    for k in sorted(model):
+        here = model[k].where("part = 0").select(
             "lang", F.col("gram").alias("g"), single("value").alias("a"))
-        rest = model.where(f"k = {k} AND part = 1").select(
+        rest = model[k].where("part = 1").select(
             F.col("lang").alias("lang2"), F.col("gram").alias("c"), single("value").alias("b"))
         p = (p.withColumn("g", F.substring("gram", ORDER - k + 1, k))
              .withColumn("c", F.substring("gram", ORDER - k + 1, k - 1))
@@ -320,14 +331,14 @@ def entropies_by_join(docs: DataFrame, model: DataFrame, langs: list[str],
     return per.groupBy("name").agg(F.max("chars").alias("chars"), listed.alias("entropies"))
 
 
-def train(docs: DataFrame) -> tuple[DataFrame, list[str], int]:
-    """The models of the learning rows of ``docs`` as a table, its languages in order,
-    and the number of distinct characters."""
+def train(docs: DataFrame) -> tuple[dict[int, DataFrame], list[str], int]:
+    """The models of the learning rows of ``docs`` as a table an order, the languages in
+    order, and the number of distinct characters."""
     learn = docs.where(~held_out() & F.col("lang").isNotNull())
     counts = written(gram_counts(learn, "lang"), "language-grams")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     alphabet = counts.select(F.substring("gram", ORDER, 1).alias("c")).distinct().count()
-    return written(kneser_ney(counts), "language-models"), langs, alphabet
+    return kneser_ney(counts, langs), langs, alphabet
 
 
 def scored(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
@@ -335,11 +346,10 @@ def scored(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     the best language), written to the shared folder."""
     model, langs, alphabet = train(docs)
     rows = docs.select("doc_id", row_key().alias("key"), "lang", "text")
-    n = model.count()
+    n = sum(rows.count() for rows in model.values())
+    models = None
     if n <= model_rows and n * len(langs) <= MODEL_CELLS:
-        hashed = map_arrow(model, _hash_of, "lang string, k int, part int, h long, value double")
-        models = docs.sparkSession.sparkContext.broadcast(
-            Models(hashed.toArrow(), langs, alphabet))
+        models = docs.sparkSession.sparkContext.broadcast(Models.of(model, langs, alphabet))
         kind = docs.schema["doc_id"].dataType.simpleString()
         out = map_arrow(rows, lambda b: _entropies(b, models.value),
                         f"doc_id {kind}, key long, lang string, {_ENTROPIES}")
@@ -354,12 +364,15 @@ def scored(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     sharp = F.least("chars", F.lit(64)).cast("double")
     mass = F.aggregate("entropies", F.lit(0.0),
                        lambda s, e: s + F.exp(sharp * (F.array_min("entropies") - e)))
-    return written(out.select(
+    found = written(out.select(
         "doc_id", "key", "lang", held_out().alias("held_out"), "chars",
         F.when(known, F.element_at(names, F.array_position("entropies", best).cast("int")))
         .otherwise(UNKNOWN).alias("lang_pred"),
         F.when(known, 1.0 / mass).otherwise(0.0).alias("score"),
         F.when(known, best).alias("entropy")), "languages")
+    if models is not None:
+        models.destroy()  # the scores are written, nothing reads it again
+    return found
 
 
 def identified(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
