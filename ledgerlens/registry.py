@@ -73,6 +73,7 @@ from ledgerlens.plans.invoice import invoice_summary  # noqa: E402
 from ledgerlens.plans.partner import partner_summary  # noqa: E402
 from ledgerlens.plans.settlement import settlement_summary  # noqa: E402
 from ledgerlens.session import scratch_dir  # noqa: E402
+from ledgerlens.sources.by_item import SalesByItem  # noqa: E402
 
 # Fixed parameters of the filtered / lookup queries: a partner spelt with a
 # thousands comma ("1,000") and a contract shared by several partners. Both
@@ -140,6 +141,15 @@ def _consolidated_items(t: Tables) -> DataFrame:
     return I.consolidated_items(t.sales)
 
 
+@query("consolidated_items_by_bucket")
+def _consolidated_items_by_bucket(t: Tables) -> DataFrame:
+    """A9 from the lines stored by item."""
+    spark = t.sales.sparkSession
+    copy = SalesByItem(spark, scratch_dir(spark, "sales-by-item"), buckets=16)
+    copy.write(t.sales)
+    return copy.consolidated_items()
+
+
 @query("partner_revenue")
 def _partner_revenue(t: Tables) -> DataFrame:
     base = with_partner_id(t.sales)
