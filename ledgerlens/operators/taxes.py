@@ -38,7 +38,7 @@ def tax_rates(taxes: DataFrame, session_ids: DataFrame | None = None) -> DataFra
 
 
 def run_sessions(lines: DataFrame, filtered: bool, name: str) -> tuple[DataFrame, DataFrame | None]:
-    """(the run's aggregated lines, its sessions or None for all).
+    """(the run's aggregated lines, its sessions with repeats or None for all).
 
     A filtered run stores its lines, aggregated already, so that the sessions that
     prune the tax and fee tables come from a few rows of known size instead of a
@@ -46,7 +46,7 @@ def run_sessions(lines: DataFrame, filtered: bool, name: str) -> tuple[DataFrame
     if not filtered:
         return lines, None
     lines = stored(lines, name)
-    return lines, sessions(lines)
+    return lines, lines.select("session_id")
 
 
 def session_rates(rates: DataFrame) -> DataFrame:

@@ -6,12 +6,12 @@ from decimal import Decimal as D
 
 import pytest
 
-from conftest import make_tables, sale
+from conftest import fee, make_tables, sale, tax
 
 from ledgerlens.operators.lookups import contracts_of_partner
 from ledgerlens.plans.invoice import invoice_summary
 from ledgerlens.session import scratch_dir
-from ledgerlens.sources.catalog import Tables
+from ledgerlens.sources.catalog import TABLE_NAMES, Tables
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +47,22 @@ def test_all_contracts_of_a_partner(spark):
     found = [r.contract_code for r in contracts_of_partner(t.sales, 1000).collect()]
     assert found == [f"C{i:05}" for i in range(n)]
     assert contracts_of_partner(t.sales, 1000, limit=3).count() == 3
+
+
+def test_tables_from_the_catalog(spark):
+    """The form nearest to a warehouse: four named tables, checked like any others."""
+    from ledgerlens.plans.partner import partner_summary
+
+    t = make_tables(spark, sales=[sale(), sale(partner_raw="2")], taxes=[tax()], fees=[fee()])
+    frames = dict(zip(TABLE_NAMES, (t.sales, t.taxes, t.fees, t.accounts)))
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    try:
+        found = Tables.from_catalog(spark)
+        assert partner_summary(found).collect() == partner_summary(t).collect()
+        t.taxes.drop("rate_pct").createOrReplaceTempView("taxes")
+        with pytest.raises(ValueError, match="table taxes: rate_pct"):
+            Tables.from_catalog(spark)
+    finally:
+        for name in frames:
+            spark.catalog.dropTempView(name)
