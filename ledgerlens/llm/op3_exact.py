@@ -6,7 +6,9 @@ id of the document that stands for it. New data is grouped by digest (partial
 aggregation: a text with a third of all rows collapses before the shuffle),
 anti-joined with the index by a sort-merge join that reads the index bucket by
 bucket without a shuffle, and what is new is appended. Ingesting the same data
-again adds nothing, so a job that died half-way may simply be run again.
+again adds nothing, so a job that died half-way may simply be run again. Rows find
+their group by a join on the digest; texts with over a thousandth of the rows each,
+a thousand at most, are broadcast to their rows instead.
 
 Defined results: a null text counts as the empty text, and empty texts are equal.
 Of equal texts in one batch the row with the smallest doc_id stands for all (a
@@ -27,6 +29,10 @@ from ledgerlens.llm.frames import SPACE_RUN, documents, fresh, written
 from ledgerlens.session import scratch_dir
 
 
+#: a text with more than one in so many rows is hot; there can't be more hot texts than this
+HOT_TEXTS = 1000
+
+
 def digest(text: Column) -> Column:
     """SHA-256 (32 bytes) of the text with each run of white space as one space."""
     normal = F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN, " ")
@@ -76,13 +82,22 @@ def groups_of(digests: DataFrame) -> DataFrame:
 def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """Ingest ``docs`` (doc_id, text) and return per row: doc_id, digest, keep_id,
     group_size (rows with the text in ``docs``) and kept."""
-    digests = written(docs.select("doc_id", digest(F.col("text")).alias("digest")), "digests")
-    groups = groups_of(digests)
+    first = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy(F.lit(1))) == 1
+    digests = written(docs.select("doc_id", digest(F.col("text")).alias("digest"))
+                      .withColumn("first", first), "digests")
+    groups = written(groups_of(digests), "digest-groups")
     index.ingest(groups)
-    kept = index.rows().join(groups.select("digest", "group_size"), "digest")
-    first = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy(F.lit(1))) == 1
-    return (digests.join(kept, "digest")
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & first))
+    kept = written(index.rows().join(groups.select("digest", "group_size"), "digest"),
+                   "digest-kept")
+    # the few digests with many rows are looked up where the rows are; equal digests
+    # compress so well that a join's partitions would not look uneven to AQE
+    many = digests.count() / HOT_TEXTS
+    hot = F.broadcast(kept.where(F.col("group_size") > many))
+    found = digests.join(hot, "digest").unionByName(
+        digests.join(hot.select("digest"), "digest", "left_anti")
+        .join(kept.where(F.col("group_size") <= many), "digest"))
+    return found.withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("first")).drop("first")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -107,8 +122,10 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def op3_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group, decision and text digest, by way of a fresh index."""
-    index = DigestIndex(spark, scratch_dir(spark, "digest-index"))
-    return decide(documents(spark, sf_dir), index).select(
+    docs = documents(spark, sf_dir)
+    index = DigestIndex(spark, scratch_dir(spark, "digest-index"),
+                        docs.schema["doc_id"].dataType.simpleString())
+    return decide(docs, index).select(
         "doc_id", "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"))
 
