@@ -6,7 +6,6 @@ import random
 
 import duckdb
 import numpy as np
-import pytest
 
 from ledgerlens.llm import op12_centroids as C
 from tests.llm.conftest import SF0001
@@ -52,10 +51,15 @@ def vectors(spark, rows, kind="float"):
     return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
 
 
-def test_whole_table(spark):
+def test_whole_table_and_sql(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in
             spark.read.parquet(f"{SF0001}/embeddings.parquet").collect()]
-    assert got(C.op12_centroids(spark, SF0001)) == plain(rows)
+    out = got(C.op12_centroids(spark, SF0001))
+    assert out == plain(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF0001}/embeddings.parquet'")
+    cols = "vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256"
+    assert out == sorted(con.execute(f"SELECT {cols} FROM ({C.OP12_SQL})").fetchall(), key=str)
 
 
 def test_ties_repeats_and_rows_left_out(spark):
@@ -118,12 +122,3 @@ def test_popping_reaches_the_parquet_scan(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = text[text.index("PushedFilters"):]
     assert "EqualTo(cluster,1)" in pushed and "LessThanOrEqual(key,5.0)" in pushed
-
-
-@pytest.mark.parametrize("sf", [SF0001])
-def test_sql(spark, sf):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
-    cols = "vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256"
-    want = sorted(con.execute(f"SELECT {cols} FROM ({C.OP12_SQL})").fetchall(), key=str)
-    assert got(C.op12_centroids(spark, sf)) == want
