@@ -27,7 +27,7 @@ def same(state, spark, days):
             sorted(map(tuple, want.collect()), key=str)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_days_loaded_and_loaded_again(spark, seed):
     rng = random.Random(seed)
     rows = random_tables(seed)["sales_lines"]
