@@ -12,6 +12,14 @@ returns a DataFrame, which is written as Parquet and reread as the next one's do
 5. mixing: every document that is left gets its place by target weights.
 
 The first four return the columns they were given; the last adds the schedule's.
+
+Defined results: a null, empty or letterless text goes at the first stage. Of rows that
+repeat id and text, or only the text, one stays after the second. A null doc_id is a
+document like any other that sorts after all ids; a null lang teaches nothing, a null
+source is mixed with the sources without a weight of their own. An empty table passes
+as an empty table, and so does one that a stage empties. Texts of any length are taken
+whole. Other columns pass through all stages whatever their names, but those that the
+last stage adds replace columns of the same name.
 """
 
 from __future__ import annotations

@@ -5,6 +5,7 @@ import re
 import corpus_pipeline as P
 from ledgerlens.llm import op4_mix as M
 from ledgerlens.llm import op9_langid as L
+from ledgerlens.llm.frames import written
 from tests.llm.conftest import SF0001
 from tests.llm.test_decontam import slow as slow_hits
 from tests.llm.test_mix import slow_places
@@ -40,10 +41,52 @@ def test_contract(spark, corpus):
         assert stage(spark, docs, SF0001).columns == corpus.columns
 
 
+def through(spark, docs):
+    """The rows after each stage."""
+    out = []
+    for name, stage in P.STAGES:
+        docs = written(stage(spark, docs, SF0001), f"test-{name}")
+        out.append(docs.collect())
+    return out
+
+
+def test_defined_cases(spark, corpus):
+    """Nulls, empty and very long texts, repeats, ties and clashing names in one table."""
+    plain = corpus.where("doc_id < 120").select(*corpus.columns).collect()
+    text = next(r["text"] for r in plain if r["lang"] == "en" and len(r["text"]) > 300)
+    long = " ".join(f"{w} {i}" for i, w in enumerate(text.split() * 2000))
+    odd = [(9001, None, "en", "src0"), (9002, "", "en", "src0"), (9003, "12 34 !?", None, None),
+           (9004, long, "en", None), (9005, text + " again", "en", "src1"),
+           (None, "one text of its own " + text, None, "src1")]
+    odd += [(9005, text + " again", "en", "src1")] * 2 + [(9000, text + "\n again", "en", "src1")]
+    docs = spark.createDataFrame([tuple(r) for r in plain] + [(*r, len(r[1] or "")) for r in odd],
+                                 corpus.schema)
+    names = ["key", "h", "digest", "fingerprint", "at", "_key", "_hit_key", "root", "rejected"]
+    docs = docs.selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    first, second, third, fourth, last = through(spark, docs)
+    ids = [{r["doc_id"] for r in rows} for rows in (first, second, third, fourth, last)]
+    assert not ids[0] & {9001, 9002, 9003} and {9000, 9004, 9005, None} <= ids[0]
+    assert sum(r["doc_id"] == 9005 for r in first) == 3
+    assert 9005 not in ids[1] and 9000 in ids[1]  # equal texts, the smaller id stays
+    assert all(a >= b for a, b in zip(ids, ids[1:])) and ids[3] == ids[4]
+    assert len(second) == len(ids[1])
+    for rows in (first, second, third, fourth, last):
+        assert all(r[n] == n for r in rows for n in names)
+    assert next(r for r in first if r["doc_id"] == 9004)["text"] == long
+
+
+def test_empty_tables(spark, corpus):
+    assert through(spark, corpus.where("false")) == [[]] * 5
+    # and a table that the first stage empties
+    none = corpus.limit(5).selectExpr("doc_id", "CAST(NULL AS STRING) AS text", "lang", "source",
+                                      "n_chars")
+    assert through(spark, none) == [[]] * 5
+
+
 def test_entry_registers_every_query():
     import __spark_entry__ as E
 
     names = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
