@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.frames import documents, fresh, longs, map_arrow, record, row_key, written
+from ledgerlens.llm.frames import (
+    Bloom, documents, fresh, longs, map_arrow, record, row_key, ship, written)
 
 RUN = 3
 _RUNS = "array<struct<fp: bigint, at: int, run: bigint, pos: int, lines: array<int>>>"
@@ -72,9 +73,11 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
         "doc_id", "key", "r.*")
     again = (runs.select("fp", "doc_id", "key", "at").distinct().groupBy("fp").count()
              .where("count > 1").select("fp"))
-    met = runs.join(again, "fp")
+    # tables written before each join: both its sides then come from a shuffle of their
+    # own, in which AQE may split a hot fingerprint
+    met = written(runs.join(written(again, "line-fingerprints"), "fp"), "line-meetings")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "pos")
-    firsts = met.groupBy("fp", "run").agg(F.min(place).alias("first"))
+    firsts = written(met.groupBy("fp", "run").agg(F.min(place).alias("first")), "line-firsts")
     later = met.join(firsts, ["fp", "run"]).where(place > F.col("first"))
     diagonal = ["doc_id", "key", "first.doc_id", "first.key"]
     ahead = Window.partitionBy(*diagonal, F.col("pos") - F.col("first.pos")).orderBy("pos")
@@ -91,13 +94,27 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
 
 
 def strip(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """``docs`` without the lines of later repeated runs, with n_lines and n_removed."""
-    gone = repeated_runs(docs, run).groupBy("doc_id", "key").agg(
-        F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
-    key, ident, lines, parts = fresh(docs, "_key", "_id", "_gone", "_lines")
-    gone = written(gone, "repeated-lines").select(
+    """``docs`` without the lines of later repeated runs, with n_lines and n_removed.
+    Only texts that may lose lines are shuffled: a Bloom filter of the losers' keys lets
+    the others pass the join."""
+    gone = written(repeated_runs(docs, run).groupBy("doc_id", "key").agg(
+        F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines")), "repeated-lines")
+    ship(docs.sparkSession)
+    losers = docs.sparkSession.sparkContext.broadcast(Bloom.of(gone.select("key"), "key"))
+
+    @F.arrow_udf("boolean")
+    def may_lose(keys: pa.Array) -> pa.Array:
+        return pa.array(losers.value.has(keys.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    key, ident, lines, parts, own, may = fresh(
+        docs, "_key", "_id", "_gone", "_lines", "_own", "_may")
+    gone = gone.select(
         F.col("doc_id").alias(ident), F.col("key").alias(key), F.col("lines").alias(lines))
-    out = docs.join(gone, (row_key() == gone[key]) & docs["doc_id"].eqNullSafe(gone[ident]), "left")
+    keyed = docs.withColumn(own, row_key()).withColumn(may, may_lose(own))
+    loses = keyed.where(may).join(gone, (F.col(own) == F.col(key))
+                                  & F.col("doc_id").eqNullSafe(F.col(ident)), "left")
+    out = loses.select(*docs.columns, lines).unionByName(keyed.where(~F.col(may)).select(
+        *docs.columns, F.lit(None).cast("array<int>").alias(lines)))
     out = out.withColumn(parts, F.split(F.coalesce("text", F.lit("")), "\n")).withColumn(
         lines, F.coalesce(lines, F.array().cast("array<int>")))
     kept = F.filter(parts, lambda x, i: ~F.array_contains(F.col(lines), i))
