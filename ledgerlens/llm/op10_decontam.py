@@ -160,6 +160,7 @@ def occurrences(docs: DataFrame, bench: DataFrame, window: int = WINDOW):
                                               F.ceil(several / WINDOWS_PER_ROW)))
              .groupBy("h", "part")
              .agg(F.collect_list(F.struct("at", "n", "words", "items")).alias("windows")))
+    lists = written(lists, "bench-lists")  # places then come from a shuffle that AQE may split
     places = found.select("doc_id", "key", F.explode("places").alias("p")).select(
         "doc_id", "key", "p.h", "p.pos", "p.at",
         F.split(F.col("p.around").cast("string"), " ").alias("around"))
