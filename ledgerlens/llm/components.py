@@ -2,7 +2,7 @@
 
 Each round points every node's larger neighbours, then its smaller ones, at the
 smallest of its neighbourhood (large-star and small-star, Kiveris et al. 2014);
-the edges end as one star per component around its smallest node. A round is
+the edges end as one star per component around its smallest node. Each step of a round is
 written to the shared folder, so lineage stays short and a lost executor costs
 one round; the driver sees a count and a checksum of the edges, never the edges.
 """
@@ -17,8 +17,9 @@ from ledgerlens.llm.frames import written
 
 def _least(edges: DataFrame) -> DataFrame:
     """Every edge with the smallest of u and u's neighbours. The minimum comes from
-    partial sums, so a hub is one row in that shuffle."""
-    low = edges.groupBy("u").agg(F.min("v").alias("low"))
+    partial sums, so a hub is one row in that shuffle; it is written before the join, so
+    the edges meet it from a shuffle of their own, in which AQE may split a hub's."""
+    low = written(edges.groupBy("u").agg(F.min("v").alias("low")), "component-lows")
     return edges.join(low, "u").withColumn("low", F.least("u", "low"))
 
 
@@ -27,6 +28,7 @@ def _round(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     large = (_least(both).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
              .where("u <> v").distinct())
+    large = written(large, "component-edges")
     small = _least(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     return (small.select(F.explode(F.array("u", "v")).alias("u"), F.col("low").alias("v"))
             .where("u <> v").distinct())
