@@ -102,3 +102,43 @@ def test_only_touched_items_are_computed(spark):
                                                        .count())), measures(rows, sign))[1]
     state.ingest("3", sales(spark, [sale(item_id=7), sale(item_id=8)]))
     assert sorted(seen) == [(-1, 2), (1, 2)]
+
+
+def test_days_meet_in_their_buckets(spark, monkeypatch):
+    """Whatever a load computes before its differences are summed by group stays where
+    the buckets lie, also with several tables and a day loaded again."""
+    state = SettlementState(spark, scratch_dir(spark, "state"), buckets=4)
+    plans, summed = [], state._summed
+
+    def seen(changes):
+        plans.append(changes._jdf.queryExecution().executedPlan().toString())
+        return summed(changes)
+
+    monkeypatch.setattr(state, "_summed", seen)
+    days = {d: [sale(item_id=i) for i in range(20 * int(d), 40 + 20 * int(d))] + [
+        sale(item_id=None), sale(item_id=21, item_status="canceled")] for d in "123"}
+    for day in ("1", "2", "3", "2"):
+        state.ingest(day, sales(spark, days[day]))
+    assert len(plans) == 4 and not any("Exchange hashpartitioning" in p for p in plans)
+    # a day that is loaded again as it was changes no group
+    assert spark.read.parquet(state.at["groups"][-1]).count() == 0
+    same(state, spark, days)
+    maxima = state.item_history()._jdf.queryExecution().executedPlan().toString()
+    assert maxima.split("Exchange")[0].count("Scan parquet") == 4
+
+
+def test_a_hot_item_collapses_before_it_is_dealt(spark):
+    """An item, or the lines without one, over ``hot_lines``: summed first."""
+    few = [sale(item_id=i) for i in range(9)]
+    state = SettlementState(spark, scratch_dir(spark, "state"), buckets=4, hot_lines=5)
+
+    def dealt(rows):
+        plan = state._rows(sales(spark, rows))._jdf.queryExecution().executedPlan().toString()
+        return plan.index("HashAggregate") > plan.index("REPARTITION_BY_NUM")
+
+    hot = [sale(item_id=3, item_status="canceled") for _ in range(6)]
+    none = [sale(item_id=None) for _ in range(6)]
+    assert dealt(few + hot) and dealt(few + none) and not dealt(few)
+    state.ingest("1", sales(spark, few + hot))
+    state.ingest("2", sales(spark, few + none))
+    same(state, spark, {"1": few + hot, "2": few + none})
