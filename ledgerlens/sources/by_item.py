@@ -62,7 +62,7 @@ class SalesByItem:
         keys = ("item_id", "item_part")
         (dealt.repartition(self.buckets, *keys).write.format("parquet")
          .bucketBy(self.buckets, *keys).sortBy(*keys)
-         .option("path", f"{self.root}/versions/{name}").saveAsTable(name))
+         .option("compression", "zstd").option("path", f"{self.root}/versions/{name}").saveAsTable(name))
         old = self.at
         at = {"name": name, "buckets": self.buckets, "before": old.get("name"),
               "columns": self.spark.table(name).schema.json()}
@@ -89,11 +89,13 @@ class SalesByItem:
         base = run_filter.apply(self.lines())
         maxima = (base.where("item_id IS NOT NULL").groupBy("item_id", "item_part")
                   .agg(F.max("gross_amount").alias("_gross"),
-                       F.max("collected_amount").alias("_collected"),
-                       F.max("item_parts").alias("_parts")))
-        whole = (maxima.where("_parts > 1").groupBy(F.col("item_id").alias("_item"))
-                 .agg(F.max("_gross").alias("_all_gross"),
-                      F.max("_collected").alias("_all_collected")))
+                       F.max("collected_amount").alias("_collected")))
+        # stored, so that the join knows how few they are and leaves the lines in place
+        whole = stored(base.where("item_id IS NOT NULL AND item_parts > 1")
+                       .groupBy(F.col("item_id").alias("_item"))
+                       .agg(F.max("gross_amount").alias("_all_gross"),
+                            F.max("collected_amount").alias("_all_collected")),
+                       "maxima-of-parts")
         joined = (base.join(maxima.hint("merge"), ["item_id", "item_part"], "left")
                   .join(whole, F.col("item_id") == F.col("_item"), "left"))
         canceled = F.col("item_status") == S.STATUS_CANCELED

@@ -52,3 +52,20 @@ def test_lines_and_history_meet_without_a_shuffle(spark):
     assert not any("Exchange" in x for x in under)
     held = (copy.lines().where("item_id = 1").selectExpr("input_file_name() AS f").distinct())
     assert held.count() >= 3
+
+
+def test_items_of_several_parts_meet_without_a_shuffle_of_the_lines(spark):
+    """What such items' lines meet is stored, so that its size is known: the join with it
+    moves no line although no table of lines may be broadcast."""
+    lines = [sale(item_id=1 if i % 3 == 0 else 10 + i, invoice_id=i) for i in range(900)]
+    sales = make_tables(spark, lines).sales
+    copy = SalesByItem(spark, scratch_dir(spark, "by-item"), buckets=8, part_rows=50)
+    copy.write(sales)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        got = copy.consolidated_items()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == rows(consolidated_items(sales))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
