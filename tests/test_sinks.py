@@ -10,6 +10,7 @@ import random
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import fee, make_tables, sale, tax
@@ -230,3 +231,17 @@ def test_job_command_line(spark, capsys):
     assert "settlement_summary_20240203" in capsys.readouterr().out
     day = dt.date(2024, 2, 3)
     assert read_snapshot(spark, f"{out}/snapshots", "settlement_summary", day).count() == 2
+
+
+def test_an_export_computes_its_report_once(spark):
+    """The emptiness check and the write read one result."""
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        computed.add(1)
+        return x
+
+    df = spark.range(0, 40, 1, 4).select(seen("id").alias("id"))
+    assert export_cells(df, scratch_dir(spark, "export-once"))
+    assert computed.value == 40
