@@ -63,3 +63,38 @@ def test_a_whole_run_counts_and_a_filtered_one_does_not(spark, large, monkeypatc
     assert counted
     monkeypatch.setattr(I, "COUNTED_BYTES", 1)
     assert got == rows(settlement_detail(t))
+
+
+@pytest.mark.parametrize("most", [1, 10_000])
+def test_only_lines_of_hot_items_are_summed_first(spark, large, monkeypatch, most):
+    """Items 1 and 2 are hot, and session 1 by its lines without an item; ``most`` 1: too
+    many hot bins to be listed, so every line is summed."""
+    monkeypatch.setattr(I, "HOT_LINES", 50)
+    monkeypatch.setattr(I, "MOST_HOT_BINS", most)
+    lines = [sale(item_id=i, item_status=("canceled", "purchased", None)[k % 3],
+                  invoice_id=k % 2, gross_amount=None if k % 4 else D(k))
+             for i in (1, 2, None) for k in range(60)]
+    lines += [sale(item_id=None, session_id=2, commission_w_tax=None) for _ in range(5)]
+    lines += [sale(item_id=100 + k // 2, item_status=("canceled", "other")[k % 2],
+                   collected_amount=None if k % 5 else D(k)) for k in range(40)]
+    sales = make_tables(spark, lines).sales
+    seen, real = [], I.item_status_rows
+    monkeypatch.setattr(I, "item_status_rows", lambda base: seen.append(base) or real(base))
+    got = I.settlement_lines(sales)
+    assert len(seen) == 1 and seen[0].count() == (180 if most > 1 else len(lines))
+    want = I.settlement_lines(sales, counted=False)
+    assert got.schema == want.schema and rows(got) == rows(want)
+    assert shuffles(got) == 3
+
+
+@pytest.mark.parametrize("without_item,counts", [(10, 1), (51, 2)])
+def test_sessions_are_counted_only_if_many_lines_are_without_an_item(
+        spark, monkeypatch, without_item, counts):
+    monkeypatch.setattr(I, "HOT_LINES", 50)
+    lines = [sale() for _ in range(60)]
+    lines += [sale(item_id=None, session_id=k) for k in range(without_item)]
+    sales = make_tables(spark, lines).sales
+    read, real = [], type(sales).groupBy
+    monkeypatch.setattr(type(sales), "groupBy", lambda df, *c: read.append(1) or real(df, *c))
+    assert not I.has_hot_item(sales)
+    assert len(read) == counts
